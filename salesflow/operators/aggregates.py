@@ -68,17 +68,19 @@ def cells_totals(cells: DataFrame, *keys: str) -> DataFrame:
         F.coalesce(F.sum("complete_rows"), F.lit(0)).alias("total_customer"))
 
 
-def column_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def column_modes(df: DataFrame, columns: Sequence[str], weight: str | None = None) -> DataFrame:
     """The most frequent non-null value of each column, the smallest on ties.
 
+    ``weight`` names a column of row counts, for rows that stand for several.
     Counting per value is spread over the cluster; only one candidate per task
     reaches the last step.
     """
     best_first = F.struct((-F.col("n")).alias("n"), F.col("value"))
+    times = F.count(F.lit(1)) if weight is None else F.sum(weight)
     return (
-        df.unpivot([], list(columns), "column_name", "value")
+        df.unpivot([weight] if weight else [], list(columns), "column_name", "value")
         .filter(F.col("value").isNotNull())
-        .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("column_name", "value").agg(times.alias("n"))
         .groupBy("column_name").agg(F.min_by("value", best_first).alias("mode"))
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -89,10 +90,16 @@ def read_lake(spark: SparkSession, tables: Tables) -> DataFrame:
 
 def _lake_batch(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
     """The lake rows of one micro-batch; lists only that batch's folders."""
-    return (
-        spark.read.schema(schemas.partitioned(schemas.LAKE)).option("basePath", tables.lake)
-        .parquet(f"{tables.lake}/created_date=*/batch_id={batch_id}")
-    )
+    schema = schemas.partitioned(schemas.LAKE)
+    try:
+        return (
+            spark.read.schema(schema).option("basePath", tables.lake)
+            .parquet(f"{tables.lake}/created_date=*/batch_id={batch_id}")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)  # no readable message in this batch
 
 
 def run_lake(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: str,
@@ -108,12 +115,12 @@ def run_speed_views(spark: SparkSession, topic: Topic, tables: Tables, checkpoin
                     stamp: Column | None = None, every: str | None = None,
                     per_trigger: int | None = None,
                     views: tuple[str, ...] = tuple(SPEED_VIEWS)) -> StreamingQuery:
-    """Topic to speed views, without a lake. Only the needed fields are parsed."""
-    needed = T.StructType([
-        f for f in schemas.WIRE.fields
-        if f.name in ("property_type", "town", "sales_ratio", "sale_amount")])
-    rows = decode(subscribe(spark, topic, per_trigger=per_trigger), needed).withColumn(
-        "created_at", arrival() if stamp is None else stamp)
+    """Topic to speed views, without a lake.
+
+    Messages are read with the whole wire schema, so that the same messages
+    count as readable here and in the lake.
+    """
+    rows = to_lake_rows(subscribe(spark, topic, per_trigger=per_trigger), stamp)
     return for_each_batch(
         rows, lambda df, i: write_speed(df, i, tables, views), checkpoint, every)
 
