@@ -39,15 +39,17 @@ def totals(df: DataFrame) -> DataFrame:
     )
 
 
-def sale_cells(df: DataFrame, *by: str) -> DataFrame:
-    """One pass over the sales: measures per (property type, town, *by).
+VIEW_KEYS = ("property_type", "town")
 
-    The three views are sums over these cells, so a run reads the sales once.
+
+def sale_cells(df: DataFrame, *keys: str) -> DataFrame:
+    """One pass over the sales: counts and sums per combination of ``keys``.
+
+    The views are sums over these cells, so a run reads the sales once.
     """
     complete = is_complete([F.col(m) for m in MEASURES])
-    keyed = fill_unknown(df.select("property_type", "town", *MEASURES, *by))
     return (
-        keyed.groupBy("property_type", "town", *by)
+        fill_unknown(df.select(*keys, *MEASURES)).groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows"),
              F.count_if(complete).alias("complete_rows"),
              F.sum(F.when(complete, F.col("sales_ratio"))).alias("ratio"),

@@ -182,22 +182,35 @@ class Gram:
 
 def grams(df: DataFrame, features: Sequence[str], label: str,
           by: Column | None = None) -> dict[int, Gram]:
-    """One :class:`Gram` per value of ``by``, all from one partial + final aggregate."""
+    """One :class:`Gram` per value of ``by``, from one pass.
+
+    A task multiplies its Arrow batches and leaves one row per cell of each
+    matrix; only these meet in the exchange.
+    """
     names = [*features, label]
-    z = df.select(
-        (F.lit(0) if by is None else by).alias("part"), F.lit(1.0).alias("z0"),
-        *[F.col(f"`{c}`").cast("double").alias(f"z{i}") for i, c in enumerate(names, 1)])
     size = len(names) + 1
-    pairs = [(i, j) for i in range(size) for j in range(i, size)]
-    summed = z.groupBy("part").agg(
-        *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s_{i}_{j}") for i, j in pairs])
-    found = {}
-    for row in summed.collect():  # one row per part
-        products = np.zeros((size, size))
-        for i, j in pairs:
-            products[i, j] = products[j, i] = row[f"s_{i}_{j}"]
-        found[row.part] = Gram(products)
-    return found
+    upper = np.triu_indices(size)
+
+    def products(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, rows in batch.groupby("part"):
+                z = np.column_stack([np.ones(len(rows)), rows.iloc[:, 1:].to_numpy()])
+                sums[k] = sums.get(k, 0.0) + z.T @ z
+        for k, total in sums.items():
+            yield pd.DataFrame({"part": k, "i": upper[0], "j": upper[1], "total": total[upper]})
+
+    summed = (
+        df.select((F.lit(0) if by is None else by).cast("long").alias("part"),
+                  *[F.col(f"`{c}`").cast("double").alias(f"z{i}") for i, c in enumerate(names)])
+        .mapInPandas(products, "part long, i long, j long, total double")
+        .groupBy("part", "i", "j").agg(F.sum("total").alias("total"))
+    )
+    found: dict[int, np.ndarray] = {}
+    for row in summed.collect():  # parts x cells
+        cells = found.setdefault(row.part, np.zeros((size, size)))
+        cells[row.i, row.j] = cells[row.j, row.i] = row.total
+    return {k: Gram(cells) for k, cells in found.items()}
 
 
 def bayesian_ridge(gram: Gram, max_iter: int = 300, tol: float = 1e-3,
@@ -280,8 +293,8 @@ def _held_out_mape(df: DataFrame, features: Sequence[str], label: str, part: Col
                    models: dict[int, list[Linear]]) -> dict[str, float]:
     """Mean over the folds of the MAPE on the fold a model has not seen.
 
-    One pass: each Arrow batch is multiplied with the weights of its fold's
-    models and leaves one row of sums per fold and model.
+    One pass: a task multiplies its Arrow batches with the weights of their
+    fold's models and leaves one row of sums per fold and model.
     """
     weights = {
         k: (np.array([m.weights for m in v]), np.array([m.intercept for m in v]))
@@ -290,15 +303,19 @@ def _held_out_mape(df: DataFrame, features: Sequence[str], label: str, part: Col
     columns = [f"x{i}" for i in range(len(features))]
 
     def errors(batches):
+        sums: dict[int, np.ndarray] = {}
+        counts: dict[int, int] = {}
         for batch in batches:
             for k, rows in batch.groupby("part"):
                 w, intercept = weights[k]
                 y = rows["y"].to_numpy()[:, None]
                 p = rows[columns].to_numpy() @ w.T + intercept
                 relative = np.abs(y - p) / np.maximum(np.abs(y), EPS)
-                yield pd.DataFrame({
-                    "part": k, "model": range(len(names)), "total": relative.sum(axis=0),
-                    "n": len(rows)})
+                sums[k] = sums.get(k, 0.0) + relative.sum(axis=0)
+                counts[k] = counts.get(k, 0) + len(rows)
+        for k, total in sums.items():
+            yield pd.DataFrame(
+                {"part": k, "model": range(len(names)), "total": total, "n": counts[k]})
 
     sums = (
         df.select(part.cast("long").alias("part"), F.col(label).alias("y"),

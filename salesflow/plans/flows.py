@@ -13,7 +13,7 @@ from salesflow import schemas
 from salesflow.functions.cleaning import (
     below, blank_to_null, cast_sales, ntz, scaled, snake_case, stamp)
 from salesflow.operators import features, quality, regression
-from salesflow.operators.aggregates import cells_by, cells_totals, sale_cells
+from salesflow.operators.aggregates import VIEW_KEYS, cells_by, cells_totals, sale_cells
 from salesflow.operators.serving import serve_by_key, serve_totals, top_k
 from salesflow.session import stage
 from salesflow.sources.files import ingest_csv, part_count, split_by_date
@@ -63,7 +63,7 @@ def batch_layer(lake: DataFrame, root: str, run_id: str, cutoff: Column,
         "town": quality.town_suite(),
         "totals": quality.totals_suite(),
     }
-    cells = stage(sale_cells(created_before(lake, cutoff)), "batch-cells")
+    cells = stage(sale_cells(created_before(lake, cutoff), *VIEW_KEYS), "batch-cells")
     done = {}
     for view, schema in BATCH_VIEWS.items():
         result = cells_totals(cells) if view == "totals" else cells_by(cells, view)

@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from salesflow import schemas
 from salesflow.functions.cleaning import parse_date
 from salesflow.functions.wire import decode, quarantine
-from salesflow.operators.aggregates import cells_by, cells_totals, sale_cells
+from salesflow.operators.aggregates import VIEW_KEYS, cells_by, cells_totals, sale_cells
 from salesflow.sources.tables import read_appended, write_batch
 from salesflow.streaming.bus import Topic, for_each_batch, subscribe
 
@@ -68,7 +68,7 @@ def write_speed(rows: DataFrame, batch_id: int, tables: Tables,
     The cells hold one row per (property type, town), so keeping them for the
     three writes is cheap; lost cells are recomputed from the source.
     """
-    cells = sale_cells(rows, "created_at").persist()
+    cells = sale_cells(rows, *VIEW_KEYS, "created_at").persist()
     try:
         for view in views:
             if view == "totals":
