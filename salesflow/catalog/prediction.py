@@ -39,7 +39,7 @@ def _mode_sql(column: str, source: str) -> str:
     f"AS residential_type FROM sales"))
 def impute_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["property_type", "residential_type"]
-    rows = sales(spark, sf_dir, "serial_number", *columns)
+    rows = stage(sales(spark, sf_dir, "serial_number", *columns), "rows")
     return X.impute_mode(rows, X.modes_of(rows, columns))
 
 
@@ -74,7 +74,7 @@ def feature_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     "round((list_year - avg(list_year) OVER ()) / stddev_pop(list_year) OVER (), 6) AS list_year "
     "FROM sales"))
 def standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sales(spark, sf_dir, "serial_number", "assessed_value", "list_year")
+    rows = stage(sales(spark, sf_dir, "serial_number", "assessed_value", "list_year"), "rows")
     scale = X.moments(rows, "assessed_value", "list_year")
     return rows.select("serial_number", *[
         F.round(scale[c].scale(F.col(c)), 6).alias(c) for c in ("assessed_value", "list_year")])

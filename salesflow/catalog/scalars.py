@@ -226,7 +226,8 @@ def constant_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     "(SELECT town, avg(sale_amount) AS m FROM sales WHERE town IS NOT NULL GROUP BY town) t "
     "ON s.town = t.town"))
 def lookup_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sales(spark, sf_dir, "serial_number", "town", "sale_amount")
+    # two jobs read the rows: store them rather than join twice
+    rows = stage(sales(spark, sf_dir, "serial_number", "town", "sale_amount"), "rows")
     return encode_by_mean(rows, "town", "sale_amount", "town_mean").select(
         "serial_number", "town", F.round("town_mean", 4).alias("town_mean"))
 

@@ -30,7 +30,13 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-@query("csv_ingest", on_sales(digest_sql()))
+# empty and missing fields look the same in a CSV: both are read as null
+BLANKS_AS_NULL = (
+    "SELECT * REPLACE (nullif(property_type, '') AS property_type, "
+    "nullif(assessor_remarks, '') AS assessor_remarks) FROM sales")
+
+
+@query("csv_ingest", on_sales(digest_sql("clean"), clean=BLANKS_AS_NULL))
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ingest_csv(spark, raw_csv(spark, sf_dir), work_dir(spark, "raw"))
     return digest(cast_sales(snake_case(raw), schemas.SALE))

@@ -63,11 +63,12 @@ def batch_layer(lake: DataFrame, root: str, run_id: str, cutoff: Column,
         "town": quality.town_suite(),
         "totals": quality.totals_suite(),
     }
+    ended_at = now() if ended_at is None else ended_at
     cells = stage(sale_cells(created_before(lake, cutoff), *VIEW_KEYS), "batch-cells")
     done = {}
     for view, schema in BATCH_VIEWS.items():
         result = cells_totals(cells) if view == "totals" else cells_by(cells, view)
-        result = stamp(result, started_at=cutoff, ended_at=ended_at or now())
+        result = stamp(result, started_at=cutoff, ended_at=ended_at)
         done[view] = publish_view(
             result, batch_view_path(root, view), run_id, schema,
             check=lambda written, s=suites[view]: quality.require(quality.validate(written, s)))

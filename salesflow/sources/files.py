@@ -12,7 +12,10 @@ from salesflow.session import stage, work_dir
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW) -> DataFrame:
-    """A headed CSV with a declared schema; quoted line breaks are part of a field."""
+    """A headed CSV with a declared schema. Empty fields are null, ``""`` is a quote.
+
+    One line is one row, so that a large file is split among tasks.
+    """
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +39,12 @@ def write_view(df: DataFrame, name: str, mode: str, schema: T.StructType | None
         writer.saveAsTable(name)
 
 
+def create_empty(spark: SparkSession, path: str, schema: T.StructType,
+                 file_format: str = "parquet") -> None:
+    """An empty table, unless there is one."""
+    spark.createDataFrame([], schema).write.mode("ignore").format(file_format).save(path)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int, schema: T.StructType) -> None:
     """Append one micro-batch to a table clustered by the date of ``created_at``.
 
@@ -104,16 +111,16 @@ def _releases(spark: SparkSession, view: str) -> DataFrame:
     return spark.read.schema(_RELEASES).json(f"{view}/releases")
 
 
-def release(spark: SparkSession, view: str, run_id: str, first: bool = False) -> None:
-    """Make a written run the one that readers see."""
-    last = -1 if first else released_run(spark, view)[1]
+def release(spark: SparkSession, view: str, run_id: str) -> None:
+    """Make a written run the one that readers see. A view has one writer at a time."""
+    create_empty(spark, f"{view}/releases", _RELEASES, "json")
+    _, last = released_run(spark, view)
     spark.createDataFrame([(run_id, last + 1)], _RELEASES).coalesce(1).write.mode(
         "append").json(f"{view}/releases")
 
 
 def released_run(spark: SparkSession, view: str) -> tuple[str | None, int]:
     """Id and sequence number of the released run; ``(None, -1)`` before the first."""
-    from pyspark.errors import AnalysisException
     try:
         row = _releases(spark, view).agg(
             F.max_by("run_id", "sequence").alias("run_id"), F.max("sequence").alias("sequence")

@@ -45,6 +45,8 @@ class Tables:
         return f"{self.root}/speed/{view}"
 
 
+CELLS_PER_FILE = 100_000
+
 SPEED_VIEWS: dict[str, T.StructType] = {
     "property_type": schemas.SPEED_BY_PROPERTY_TYPE,
     "town": schemas.SPEED_BY_TOWN,
@@ -66,16 +68,18 @@ def write_speed(rows: DataFrame, batch_id: int, tables: Tables,
     """The partial views of one micro-batch from one pass over its rows.
 
     The cells hold one row per (property type, town), so keeping them for the
-    three writes is cheap; lost cells are recomputed from the source.
+    three writes is cheap; lost cells are recomputed from the source. Their
+    number decides how many files a partial view is written to.
     """
     cells = sale_cells(rows, *VIEW_KEYS, "created_at").persist()
     try:
+        files = -(-cells.count() // CELLS_PER_FILE) or 1
         for view in views:
             if view == "totals":
                 partial = cells_totals(cells, "created_at")
             else:
                 partial = cells_by(cells, view, "created_at")
-            write_batch(partial, tables.speed(view), batch_id, SPEED_VIEWS[view])
+            write_batch(partial.coalesce(files), tables.speed(view), batch_id, SPEED_VIEWS[view])
     finally:
         cells.unpersist()
 
