@@ -39,24 +39,29 @@ def write_view(df: DataFrame, name: str, mode: str, schema: T.StructType | None
         writer.saveAsTable(name)
 
 
-def create_empty(spark: SparkSession, path: str, schema: T.StructType,
-                 file_format: str = "parquet") -> None:
+def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
+
+
+def create_empty(spark: SparkSession, path: str, schema: T.StructType) -> None:
     """An empty table, unless there is one."""
-    spark.createDataFrame([], schema).write.mode("ignore").format(file_format).save(path)
+    empty(spark, schema).write.mode("ignore").parquet(path)
 
 
-def write_batch(df: DataFrame, path: str, batch_id: int, schema: T.StructType) -> None:
+def write_batch(df: DataFrame, path: str, batch_id: int, schema: T.StructType,
+                first_by: tuple[str, ...] = ()) -> None:
     """Append one micro-batch to a table clustered by the date of ``created_at``.
 
-    The rows land in ``created_date=../batch_id=..``. Writing the same batch
-    again replaces exactly those folders, so a retry neither loses nor repeats.
+    The rows land in ``created_date=../batch_id=..`` (below the folders of
+    ``first_by``). Writing the same batch again replaces exactly those folders,
+    so a retry neither loses nor repeats.
     """
     (
         schemas.conform(df, schema)
         .withColumn("created_date", F.col("created_at").cast("date"))
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("created_date", "batch_id").parquet(path)
+        .partitionBy(*first_by, "created_date", "batch_id").parquet(path)
     )
 
 
@@ -99,7 +104,7 @@ def read_since(df: DataFrame, last: Column, now: Column) -> DataFrame:
 
 _RELEASES = T.StructType([
     T.StructField("run_id", T.StringType()),
-    T.StructField("sequence", T.LongType()),
+    T.StructField("released_at", T.TimestampType()),
 ])
 
 
@@ -107,36 +112,29 @@ def run_path(view: str, run_id: str) -> str:
     return f"{view}/runs/{run_id}"
 
 
-def _releases(spark: SparkSession, view: str) -> DataFrame:
-    return spark.read.schema(_RELEASES).json(f"{view}/releases")
-
-
 def release(spark: SparkSession, view: str, run_id: str) -> None:
     """Make a written run the one that readers see. A view has one writer at a time."""
-    create_empty(spark, f"{view}/releases", _RELEASES, "json")
-    _, last = released_run(spark, view)
-    spark.createDataFrame([(run_id, last + 1)], _RELEASES).coalesce(1).write.mode(
-        "append").json(f"{view}/releases")
+    spark.range(1).select(
+        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("released_at")
+    ).write.mode("append").parquet(f"{view}/releases")
 
 
-def released_run(spark: SparkSession, view: str) -> tuple[str | None, int]:
-    """Id and sequence number of the released run; ``(None, -1)`` before the first."""
+def released_run(spark: SparkSession, view: str) -> str | None:
+    """Id of the run released last; None before the first."""
     try:
-        row = _releases(spark, view).agg(
-            F.max_by("run_id", "sequence").alias("run_id"), F.max("sequence").alias("sequence")
-        ).first()
+        releases = spark.read.schema(_RELEASES).parquet(f"{view}/releases")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None, -1
-    return (None, -1) if row.sequence is None else (row.run_id, row.sequence)
+        return None
+    return releases.agg(F.max_by("run_id", "released_at").alias("run_id")).first().run_id
 
 
 def read_view(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
-    """The released run of a view."""
-    run_id, _ = released_run(spark, view)
+    """The released run of a view; no rows before the first."""
+    run_id = released_run(spark, view)
     if run_id is None:
-        return spark.createDataFrame([], schema)
+        return empty(spark, schema)
     return spark.read.schema(schema).parquet(run_path(view, run_id))
 
 

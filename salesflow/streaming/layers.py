@@ -7,6 +7,8 @@ layer (``created_at >= cutoff``) therefore split the same rows by the same stamp
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -18,8 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 from salesflow import schemas
 from salesflow.functions.cleaning import parse_date
 from salesflow.functions.wire import decode, quarantine
-from salesflow.operators.aggregates import VIEW_KEYS, cells_by, cells_totals, sale_cells
-from salesflow.sources.tables import read_appended, write_batch
+from salesflow.operators.aggregates import VIEW_KEYS, sale_cells
+from salesflow.sources.tables import empty, read_appended, write_batch
 from salesflow.streaming.bus import Topic, for_each_batch, subscribe
 
 
@@ -41,11 +43,10 @@ class Tables:
     def lake(self) -> str:
         return f"{self.root}/lake"
 
-    def speed(self, view: str) -> str:
-        return f"{self.root}/speed/{view}"
-
+    @property
+    def speed(self) -> str:
+        return f"{self.root}/speed"
 
-CELLS_PER_FILE = 100_000
 
 SPEED_VIEWS: dict[str, T.StructType] = {
     "property_type": schemas.SPEED_BY_PROPERTY_TYPE,
@@ -53,6 +54,14 @@ SPEED_VIEWS: dict[str, T.StructType] = {
     "totals": schemas.SPEED_TOTALS,
 }
 
+# How all partial views are stored: one table, a folder per view.
+_PARTIALS = T.StructType([
+    T.StructField("view", T.StringType(), True),
+    T.StructField("label", T.StringType(), True),
+    *[T.StructField(n, schemas.SPEED_TOTALS[n].dataType, True) for n in (
+        "total_customer", "total_sales_ratio", "total_sale_amount", "created_at")],
+])
+
 
 def to_lake_rows(messages: DataFrame, stamp: Column | None = None) -> DataFrame:
     """Messages to lake rows: decode, parse the date, stamp once."""
@@ -63,29 +72,59 @@ def to_lake_rows(messages: DataFrame, stamp: Column | None = None) -> DataFrame:
     )
 
 
-def write_speed(rows: DataFrame, batch_id: int, tables: Tables,
-                views: tuple[str, ...] = tuple(SPEED_VIEWS)) -> None:
-    """The partial views of one micro-batch from one pass over its rows.
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution inside a micro-batch.
 
-    The cells hold one row per (property type, town), so keeping them for the
-    three writes is cheap; lost cells are recomputed from the source. Their
-    number decides how many files a partial view is written to.
+    Spark turns it off in the session of a stream, because the partitions of
+    stateful operators must not change; the writes here keep no state.
     """
-    cells = sale_cells(rows, *VIEW_KEYS, "created_at").persist()
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
     try:
-        files = -(-cells.count() // CELLS_PER_FILE) or 1
-        for view in views:
-            if view == "totals":
-                partial = cells_totals(cells, "created_at")
-            else:
-                partial = cells_by(cells, view, "created_at")
-            write_batch(partial.coalesce(files), tables.speed(view), batch_id, SPEED_VIEWS[view])
+        yield
     finally:
-        cells.unpersist()
+        spark.conf.set(key, before)
+
+
+def partial_views(rows: DataFrame, views: tuple[str, ...] = tuple(SPEED_VIEWS)) -> DataFrame:
+    """The partial views of some rows, stacked: (view, label, measures, created_at).
+
+    One pass over the rows makes cells per (property type, town); the views are
+    grouping sets of these few cells. ``total_customer`` counts all rows of a
+    label, but only complete rows in the totals.
+    """
+    sets = {key: [key, "created_at"] for key in VIEW_KEYS} | {"totals": ["created_at"]}
+    grouped = sale_cells(rows, *VIEW_KEYS, "created_at").groupingSets(
+        [sets[v] for v in views], *VIEW_KEYS, "created_at")
+    view = F.lit("totals")
+    for key in VIEW_KEYS:
+        view = F.when(F.grouping(key) == 0, key).otherwise(view)
+    return grouped.agg(
+        view.alias("view"), F.sum("rows").alias("rows"),
+        F.sum("complete_rows").alias("complete_rows"),
+        F.sum("ratio").alias("total_sales_ratio"), F.sum("amount").alias("total_sale_amount"),
+    ).select(
+        "view", F.coalesce(*VIEW_KEYS, F.lit("all")).alias("label"),
+        F.when(F.col("view") == "totals", F.col("complete_rows")).otherwise(F.col("rows"))
+        .alias("total_customer"),
+        "total_sales_ratio", "total_sale_amount", "created_at")
+
+
+def write_speed(rows: DataFrame, batch_id: int, tables: Tables,
+                views: tuple[str, ...] = tuple(SPEED_VIEWS)) -> None:
+    """Store the partial views of one micro-batch; one job, so all of them or none."""
+    with _adaptive(rows.sparkSession):
+        write_batch(partial_views(rows, views), tables.speed, batch_id, _PARTIALS, ("view",))
 
 
 def read_speed(spark: SparkSession, tables: Tables, view: str) -> DataFrame:
-    return read_appended(spark, tables.speed(view), SPEED_VIEWS[view])
+    """A speed view with its own columns, plus ``created_date`` and ``batch_id``."""
+    stored = schemas.partitioned(T.StructType(_PARTIALS.fields[1:]))
+    partials = spark.read.schema(stored).parquet(f"{tables.speed}/view={view}")
+    schema = schemas.partitioned(SPEED_VIEWS[view])
+    return partials.withColumnRenamed("label", view).select(*schema.names)
 
 
 def read_lake(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -103,7 +142,7 @@ def _lake_batch(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)  # no readable message in this batch
+        return empty(spark, schema)  # no readable message in this batch
 
 
 def run_lake(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: str,
