@@ -134,7 +134,10 @@ def feed_parts(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
     key = (spark.sparkContext.applicationId, sf_dir, "parts")
     if key not in _FEEDS:
         prepared = read_sales(spark, sales_files(spark, sf_dir))
-        parts = part_count(prepared.count(), least=TICKS)
+        rows = prepared.count()
+        # enough files per tick for all cores, but none of a few rows
+        tasks = min(spark.sparkContext.defaultParallelism, -(-rows // 10_000))
+        parts = part_count(rows, least=TICKS * tasks)
         path = work_dir(spark, "parts")
         split_by_date(prepared, parts, path)
         _FEEDS[key] = (path, -(-parts // TICKS))
@@ -213,12 +216,12 @@ SELECT coalesce({key}, 'Unknown') AS {key}, count(*) AS total_customer,
 FROM sales WHERE created_at < TIMESTAMP '{CUTOFF}' GROUP BY coalesce({key}, 'Unknown')"""
 
 
-def speed_sql(key: str) -> str:
+def speed_sql(key: str, unit: str = "month") -> str:
     return f"""
 SELECT coalesce({key}, 'Unknown') AS {key}, count(*) AS total_customer,
-  date_trunc('month', created_at) AS created_at
+  date_trunc('{unit}', created_at) AS created_at
 FROM sales WHERE created_at >= TIMESTAMP '{CUTOFF}'
-GROUP BY coalesce({key}, 'Unknown'), date_trunc('month', created_at)"""
+GROUP BY coalesce({key}, 'Unknown'), date_trunc('{unit}', created_at)"""
 
 
 def served_sql(key: str) -> str:

@@ -89,7 +89,7 @@ def drop_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_key_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     # null fields are absent from the messages, and some columns are never sent
     messages = encode(sales(spark, sf_dir, "serial_number", "town", "property_type",
-                            "residential_type"))
+                            "residential_type", heavy=True))
     return decode(messages).select(
         "serial_number", "town", "property_type", "residential_type", "non_use_code")
 
@@ -102,12 +102,12 @@ _SENT = [c for c in schemas.SALE.names]
     + " + ".join(f"CAST({c} IS NOT NULL AS BIGINT)" for c in _SENT) + " AS keys FROM sales"))
 def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("value")
-    return encode(sales(spark, sf_dir, *_SENT)).select(
-        F.get_json_object(value, "$.serial_number").cast("long").alias("serial_number"),
-        F.get_json_object(value, "$.town").alias("town"),
-        F.get_json_object(value, "$.sale_amount").cast("double").alias("sale_amount"),
-        F.get_json_object(value, "$.location").alias("location"),
-        F.size(F.json_object_keys(value)).cast("long").alias("keys"))
+    read = ["serial_number", "town", "sale_amount", "location"]
+    return encode(sales(spark, sf_dir, *_SENT, heavy=True)).select(
+        F.json_tuple(value, *read).alias(*read),
+        F.size(F.json_object_keys(value)).cast("long").alias("keys"),
+    ).withColumns({"serial_number": F.col("serial_number").cast("long"),
+                   "sale_amount": F.col("sale_amount").cast("double")})
 
 
 @query("json_decode", on_sales(
@@ -115,7 +115,7 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     "address, assessed_value, sale_amount, isnan(sales_ratio) AS ratio_is_nan, property_type, "
     "residential_type, assessor_remarks, opm_remarks, location FROM sales"))
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decode(encode(sales(spark, sf_dir, *_SENT))).select(
+    return decode(encode(sales(spark, sf_dir, *_SENT, heavy=True))).select(
         "serial_number", "list_year", "date_recorded", "town", "address", "assessed_value",
         "sale_amount", F.when(F.col("sales_ratio").isNotNull(), F.isnan("sales_ratio"))
         .alias("ratio_is_nan"), "property_type", "residential_type", "assessor_remarks",
@@ -124,7 +124,7 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bytes_to_text", on_sales("SELECT town, serial_number FROM sales"))
 def bytes_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    messages = encode(sales(spark, sf_dir, "serial_number", "town", "sale_amount"))
+    messages = encode(sales(spark, sf_dir, "serial_number", "town", "sale_amount", heavy=True))
     received = messages.select(F.col("value").cast("binary").alias("value"))
     partial = T.StructType([schemas.WIRE["town"], schemas.WIRE["serial_number"]])
     return decode(as_text(received), partial)

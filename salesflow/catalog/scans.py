@@ -19,7 +19,7 @@ from salesflow.sources.tables import (
     cluster_by_date, created_before, read_since, read_table, write_batch, write_view)
 from salesflow.sources.testdata import sales, sales_files
 from salesflow.streaming.bus import (
-    for_each_batch, publish, release_part, stream_sales, subscribe, Topic)
+    for_each_batch, publish, release_parts, stream_sales, subscribe, Topic)
 
 
 def raw_csv(spark: SparkSession, sf_dir: str) -> str:
@@ -91,8 +91,7 @@ def paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_batch(df.withColumn("created_at", ntz(STAMP)), out, batch_id, schema)
 
     for first in range(0, count, per_tick):  # one tick: release, then take what is there
-        for number in range(first, min(first + per_tick, count)):
-            release_part(spark, parts, watched, number)
+        release_parts(spark, parts, watched, range(first, min(first + per_tick, count)))
         for_each_batch(stream_sales(spark, watched), deliver, offsets).awaitTermination()
     replayed = spark.read.schema(schemas.partitioned(schema)).parquet(out)
     ranges = replayed.groupBy(F.col("batch_id").alias("number")).agg(

@@ -21,10 +21,20 @@ def as_text(df: DataFrame, column: str = "value") -> DataFrame:
     return df.withColumn(column, F.col(column).cast("string"))
 
 
-def parsed(value: Column, schema: T.StructType) -> Column:
-    """JSON text to a struct of ``schema`` plus the corrupt text, if any."""
+def _parsed(df: DataFrame, schema: T.StructType, column: str, *keep: Column) -> DataFrame:
+    """One row per message: ``keep``, the fields of ``schema`` and the corrupt text.
+
+    Expanding the parsed struct as rows makes it a plan node of its own: each
+    message is parsed once, whatever is filtered and selected afterwards.
+    """
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType(), True)])
-    return F.from_json(value, with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    struct = F.from_json(F.col(column), with_corrupt, {"columnNameOfCorruptRecord": CORRUPT})
+    return df.select(*keep, F.inline(F.array(struct)))
+
+
+def _unreadable(schema: T.StructType, is_message: Column) -> Column:
+    nothing = F.coalesce(*[F.col(n).cast("string") for n in schema.names]).isNull()
+    return ~is_message | (F.col(CORRUPT).isNotNull() & nothing)
 
 
 def decode(df: DataFrame, schema: T.StructType = schemas.WIRE,
@@ -35,24 +45,21 @@ def decode(df: DataFrame, schema: T.StructType = schemas.WIRE,
     field of the wrong type is null in that field only. Rows from which nothing
     could be read (malformed text) are left out: see :func:`quarantine`.
     """
+    messages = df.filter(F.col(column).isNotNull())
     return (
-        df.select(parsed(F.col(column), schema).alias("m"))
-        .filter(~_unreadable(F.col("m"), schema))
-        .select(*[F.col(f"m.{name}") for name in schema.names])
+        _parsed(messages, schema, column)
+        .filter(~_unreadable(schema, F.lit(True))).select(*schema.names)
     )
 
 
 def quarantine(df: DataFrame, schema: T.StructType = schemas.WIRE,
                column: str = "value") -> DataFrame:
     """Messages that were not fully readable, and whether their row was dropped."""
-    m = F.col("m")
+    source = F.col(column).alias("_message")
+    is_message = F.col("_message").isNotNull()
     return (
-        df.select(F.col(column).alias("value"), parsed(F.col(column), schema).alias("m"))
-        .filter(F.col(column).isNull() | m.getField(CORRUPT).isNotNull())
-        .select("value", _unreadable(m, schema).alias("dropped"))
+        _parsed(df, schema, column, source)
+        .filter(~is_message | F.col(CORRUPT).isNotNull())
+        .select(F.col("_message").alias("value"),
+                _unreadable(schema, is_message).alias("dropped"))
     )
-
-
-def _unreadable(m: Column, schema: T.StructType) -> Column:
-    nothing = F.coalesce(*[m.getField(n).cast("string") for n in schema.names]).isNull()
-    return m.isNull() | (m.getField(CORRUPT).isNotNull() & nothing)

@@ -57,8 +57,21 @@ def _columns() -> dict[str, tuple[Column, frozenset[str]]]:
     }
 
 
-def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The derived sales, with the lake schema (or the given columns of it)."""
+def spread(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, dealt out to all of them.
+
+    The test tables are files of one row group, which is one task. For work that
+    is heavy per row; a table of many row groups passes unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def sales(spark: SparkSession, sf_dir: str, *columns: str, heavy: bool = False) -> DataFrame:
+    """The derived sales, with the lake schema (or the given columns of it).
+
+    ``heavy`` announces expensive work per row, see :func:`spread`.
+    """
     names = list(columns) or schemas.LAKE.names
     made = _columns()
     needs = frozenset().union(*[made[n][1] for n in names])
@@ -66,7 +79,7 @@ def sales(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    df = table("lineitem")
+    df = spread(table("lineitem")) if heavy else table("lineitem")
     if "part" in needs:
         df = df.join(table("part"), F.col("p_partkey") == F.col("l_partkey"))
     if "orders" in needs:
@@ -93,6 +106,6 @@ def sales_files(spark: SparkSession, sf_dir: str, lake: bool = False) -> str:
     if key not in _STAGED:
         path = work_dir(spark, "lake" if lake else "sales")
         schema = schemas.LAKE if lake else schemas.SALE
-        sales(spark, sf_dir, *schema.names).write.parquet(path)
+        sales(spark, sf_dir, *schema.names, heavy=True).write.parquet(path)
         _STAGED[key] = path
     return _STAGED[key]

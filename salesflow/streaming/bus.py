@@ -6,7 +6,7 @@ folder of message files is a drop-in topic without a broker.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,13 +53,11 @@ def stream_sales(spark: SparkSession, folder: str, schema: T.StructType = schema
     return reader.parquet(folder)
 
 
-def release_part(spark: SparkSession, parts: str, watched: str, number: int,
-                 schema: T.StructType = schemas.SALE) -> None:
-    """One tick of a paced replay: deliver part ``number`` of ``parts`` to a watched folder."""
-    (
-        spark.read.schema(schema).parquet(f"{parts}/part-{number:05d}-*")
-        .write.mode("append").parquet(watched)
-    )
+def release_parts(spark: SparkSession, parts: str, watched: str, numbers: Iterable[int],
+                  schema: T.StructType = schemas.SALE) -> None:
+    """One tick of a paced replay: deliver some parts, by number, to a watched folder."""
+    files = [f"{parts}/part-{number:05d}-*" for number in numbers]
+    spark.read.schema(schema).parquet(*files).write.mode("append").parquet(watched)
 
 
 def publish(stream: DataFrame, topic: Topic, checkpoint: str,
