@@ -150,10 +150,9 @@ def message_topic(spark: SparkSession, sf_dir: str) -> tuple[Topic, int]:
     if key not in _FEEDS:
         parts, per_tick = feed_parts(spark, sf_dir)
         path = work_dir(spark, "topic")
-        # one file per part file: the scan is not repartitioned
-        encode(read_sales(spark, parts)).write.parquet(path)
-        files = len(spark.read.parquet(path).inputFiles())
-        _FEEDS[key] = (Topic.folder(path), -(-files // TICKS))
+        files = per_tick * TICKS
+        encode(read_sales(spark, parts)).repartition(files).write.parquet(path)
+        _FEEDS[key] = (Topic.folder(path), per_tick)
     return _FEEDS[key]
 
 
