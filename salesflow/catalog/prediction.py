@@ -202,8 +202,61 @@ def fit_elastic_net(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fitted(spark, sf_dir, "Elastic Net", R.elastic_net())
 
 
-@query("fit_bayesian_ridge")
+def _bayes_views(moments: str, prefix: str = "") -> dict[str, str]:
+    """The evidence-maximising ridge on one feature, one row per step, for each ``part``.
+
+    ``moments``: part, xx, xy, yy (products about the means), mx, my, n. The last step
+    repeats the weight of the final precisions.
+    """
+    weight = "xy / (xx + l / a)"
+    return {
+        f"{prefix}sums": moments,
+        f"{prefix}steps": f"""
+SELECT part, 0 AS step, 1.0 / (yy / n + {R.EPS!r}) AS a, CAST(1.0 AS DOUBLE) AS l,
+  CAST(0.0 AS DOUBLE) AS w, FALSE AS done, xx, xy, yy, mx, my, n
+FROM {prefix}sums
+UNION ALL
+SELECT part, step + 1,
+  CASE WHEN stop THEN a ELSE (n - g + 2e-6) / (greatest(yy - 2 * v * xy + v * v * xx, 0) + 2e-6)
+    END,
+  CASE WHEN stop THEN l ELSE (g + 2e-6) / (v * v + 2e-6) END,
+  v, stop, xx, xy, yy, mx, my, n
+FROM (SELECT *, {weight} AS v, a * xx / (l + a * xx) AS g,
+        step > 0 AND abs({weight} - w) < 1e-3 AS stop
+      FROM {prefix}steps WHERE NOT done AND step < 300)""",
+        f"{prefix}bayes": f"""
+SELECT part, {weight} AS w, my - mx * {weight} AS b, a, l
+FROM {prefix}steps QUALIFY row_number() OVER (PARTITION BY part ORDER BY step DESC) = 1""",
+    }
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH sales", "WITH RECURSIVE sales", 1)
+
+
+_CENTRED = ("regr_sxx(y, x) AS xx, regr_sxy(y, x) AS xy, regr_syy(y, x) AS yy, "
+            "avg(x) AS mx, avg(y) AS my, count(*) AS n")
+
+
+@query("fit_bayesian_ridge", _recursive(on_sales(
+    "SELECT 'Bayesian' AS model, round(w, 4) AS coefficient, round(b, 4) AS intercept, "
+    "round(a * 1e9, 6) AS noise_precision_e9, round(l * 1e9, 2) AS weight_precision_e9 FROM bayes",
+    **_ONE, **_bayes_views(f"SELECT 0 AS part, {_CENTRED} FROM xy WHERE NOT held"))))
 def fit_bayesian_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _one(spark, sf_dir)
+    m = R.bayesian_ridge(R.grams(train, ["x"], "y")[0])
+    return spark.createDataFrame(
+        [(m.name, m.weights[0], m.intercept, m.alpha * 1e9, m.precision * 1e9)],
+        "model string, coefficient double, intercept double, noise_precision_e9 double, "
+        "weight_precision_e9 double",
+    ).withColumns({
+        "coefficient": F.round("coefficient", 4), "intercept": F.round("intercept", 4),
+        "noise_precision_e9": F.round("noise_precision_e9", 6),
+        "weight_precision_e9": F.round("weight_precision_e9", 2)})
+
+
+@query("fit_bayesian_ridge_all_features")
+def fit_bayesian_ridge_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = model_frames(_model_sales(spark, sf_dir))
     m = R.bayesian_ridge(R.grams(train, X.FEATURES, X.LABEL)[0])
     rows = [*zip(X.FEATURES, m.weights), ("intercept", m.intercept),
@@ -256,6 +309,99 @@ def model_save_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         "serial_number", F.round(R.PREDICTION, 1).alias("prediction"))
 
 
+# --- validation and search on the one feature: folds of the training rows
+
+_FOLD = f"{_BUCKET} % {R.FOLDS}"
+_FOLDED = {
+    **_ONE,
+    "folded": f"SELECT x, y, {_FOLD} AS fold FROM xy WHERE NOT held",
+    "folds": "SELECT DISTINCT fold FROM folded",
+    # the rows that a fold's models are fitted on
+    "inner_rows": "SELECT folds.fold AS part, x, y FROM folded JOIN folds "
+                  "ON folded.fold <> folds.fold",
+    "inner_moments": "SELECT part, covar_pop(x, y) AS c, var_pop(x) AS d, avg(x) AS mx, "
+                     "avg(y) AS my, count(*) AS n FROM inner_rows GROUP BY part",
+    **_bayes_views(f"SELECT part, {_CENTRED} FROM inner_rows GROUP BY part"),
+}
+
+
+def _penalised(name: str, l1: str, l2: str, source: str) -> str:
+    weight = f"sign(c) * greatest(abs(c) - {l1}, 0) / (d + {l2})"
+    return f"SELECT '{name}' AS model, part, {weight} AS w, my - mx * {weight} AS b FROM {source}"
+
+
+def _five(source: str, bayes: str = "bayes") -> str:
+    return " UNION ALL ".join([
+        _penalised("Linear Regression", "0", "0", source),
+        _penalised("Ridge", "0", "1.0 / n", source),
+        _penalised("Lasso", "1", "0", source),
+        _penalised("Elastic Net", "0.5", "0.5", source),
+        f"SELECT 'Bayesian' AS model, part, w, b FROM {bayes}"])
+
+
+def _error(y: str, p: str) -> str:
+    return f"avg(abs({y} - ({p})) / greatest(abs({y}), {R.EPS!r}))"
+
+
+_CROSSED = (f"SELECT model, avg(e) AS mape FROM (SELECT model, part, {_error('y', 'b + w * x')} "
+            f"AS e FROM folded JOIN fitted ON fold = part GROUP BY model, part) GROUP BY model")
+
+
+@query("cross_validate", _recursive(on_sales(
+    "SELECT model, round(mape, 6) AS mape FROM crossed",
+    **_FOLDED, fitted=_five("inner_moments"), crossed=_CROSSED)))
+def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _one(spark, sf_dir)
+    found = R.cross_validate(train, ["x"], "y", X.fold("serial_number"))
+    return spark.createDataFrame(
+        [(n, float(v)) for n, v in found.items()], "model string, mape double",
+    ).withColumn("mape", F.round("mape", 6))
+
+
+_GRID = ", ".join(f"CAST({a!r} AS DOUBLE)" for a in map(float, R.GRID_ALPHAS))
+
+
+@query("grid_search", on_sales(
+    "SELECT alpha, max_iter, round(mape, 6) AS mape, "
+    "row_number() OVER (ORDER BY mape, alpha, max_iter) = 1 AS best "
+    "FROM crossed, (SELECT CAST(unnest("
+    + str(R.GRID_MAX_ITER) + ") AS BIGINT) AS max_iter)",
+    **{k: v for k, v in _FOLDED.items() if k not in ("sums", "steps", "bayes")},
+    alphas=f"SELECT unnest([{_GRID}]) AS alpha",
+    fitted="SELECT alpha, part, sign(c) * greatest(abs(c) - alpha, 0) / d AS w, c, d, mx, my "
+           "FROM inner_moments, alphas",
+    crossed=f"SELECT alpha, avg(e) AS mape FROM (SELECT alpha, part, "
+            f"{_error('y', 'my - mx * w + w * x')} AS e FROM folded JOIN fitted ON fold = part "
+            f"GROUP BY alpha, part) GROUP BY alpha"))
+def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _ = _one(spark, sf_dir)
+    return _grid(spark, train, ["x"], "y").withColumn("mape", F.round("mape", 6))
+
+
+def _grid(spark: SparkSession, train: DataFrame, names: list[str], label: str) -> DataFrame:
+    found = R.grid_search(train, names, label, X.fold("serial_number"))
+    return spark.createDataFrame(
+        [(a, m, float(v), i == 0) for i, (a, m, v) in enumerate(found)],
+        "alpha double, max_iter long, mape double, best boolean")
+
+
+@query("model_compare_one_feature", _recursive(on_sales(
+    f"SELECT e.model, explained_variance, e.mape, round(c.mape * 100, 4) AS cross_validated_mape "
+    f"FROM evaluated e JOIN crossed c ON e.model = c.model",
+    **_FOLDED,
+    # the models of the whole training part, next to those of the folds
+    whole="SELECT 0 AS part, * FROM moments",
+    fitted=_five("inner_moments"), crossed=_CROSSED,
+    **_bayes_views(f"SELECT 0 AS part, {_CENTRED} FROM xy WHERE NOT held", "whole_"),
+    final=_five("whole", "whole_bayes"),
+    evaluated=f"SELECT model, round((1 - var_pop(y - (b + w * x)) / var_pop(y)) * 100, 4) "
+              f"AS explained_variance, round({_error('y', 'b + w * x')} * 100, 4) AS mape "
+              f"FROM xy, final WHERE held GROUP BY model")))
+def model_compare_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, test = _one(spark, sf_dir)
+    return R.compare(spark, train, test, ["x"], "y", X.fold("serial_number"))
+
+
 # --- all features: no closed form, checked against brute force in the tests
 
 
@@ -265,18 +411,15 @@ def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.compare(spark, train, test, X.FEATURES, X.LABEL, X.fold("serial_number"))
 
 
-@query("cross_validate")
-def cross_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("cross_validate_all_features")
+def cross_validate_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = model_frames(_model_sales(spark, sf_dir))
     found = R.cross_validate(train, X.FEATURES, X.LABEL, X.fold("serial_number"))
     return spark.createDataFrame(
         [(n, float(v)) for n, v in found.items()], "model string, mape double")
 
 
-@query("grid_search")
-def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("grid_search_all_features")
+def grid_search_all_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = model_frames(_model_sales(spark, sf_dir))
-    found = R.grid_search(train, X.FEATURES, X.LABEL, X.fold("serial_number"))
-    return spark.createDataFrame(
-        [(a, m, float(v), i == 0) for i, (a, m, v) in enumerate(found)],
-        "alpha double, max_iter long, mape double, best boolean")
+    return _grid(spark, train, X.FEATURES, X.LABEL)
