@@ -399,7 +399,7 @@ def _grid(spark: SparkSession, train: DataFrame, names: list[str], label: str) -
               f"FROM xy, final WHERE held GROUP BY model")))
 def model_compare_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _one(spark, sf_dir)
-    return R.compare(spark, train, test, ["x"], "y", X.fold("serial_number"))
+    return R.compare(train, test, ["x"], "y", X.fold("serial_number"))
 
 
 # --- all features: no closed form, checked against brute force in the tests
@@ -408,7 +408,7 @@ def model_compare_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("model_compare")
 def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = model_frames(_model_sales(spark, sf_dir))
-    return R.compare(spark, train, test, X.FEATURES, X.LABEL, X.fold("serial_number"))
+    return R.compare(train, test, X.FEATURES, X.LABEL, X.fold("serial_number"))
 
 
 @query("cross_validate_all_features")

@@ -32,7 +32,7 @@ def totals(df: DataFrame) -> DataFrame:
     ``total_customer`` counts complete rows only, unlike :func:`count_by`.
     """
     return (
-        df.select(*MEASURES).na.drop()
+        df.select(*MEASURES).filter(is_complete([F.col(m) for m in MEASURES]))
         .agg(F.sum("sales_ratio").alias("total_sales_ratio"),
              F.sum("sale_amount").alias("total_sale_amount"),
              F.count(F.lit(1)).alias("total_customer"))

@@ -9,13 +9,13 @@ small systems (features x features) that remain.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPS = float(np.finfo(np.float64).eps)
@@ -336,13 +336,19 @@ def _training_grams(parts: dict[int, Gram]) -> dict[int, Gram]:
     return {k: others(k) for k in parts}
 
 
-def cross_validate(df: DataFrame, features: Sequence[str], label: str,
-                   part: Column) -> dict[str, float]:
-    """Mean held-out MAPE of the five models. Reads the data twice in all."""
-    training = _training_grams(grams(df, features, label, part))
-    models = {
-        k: [*[solve(g, name, p) for name, p in PENALTIES.items()], bayesian_ridge(g)]
-        for k, g in training.items()}
+def solve_all(gram: Gram) -> list[Linear]:
+    """The five models of one set of rows."""
+    return [*[solve(gram, name, p) for name, p in PENALTIES.items()], bayesian_ridge(gram)]
+
+
+def cross_validate(df: DataFrame, features: Sequence[str], label: str, part: Column,
+                   parts: dict[int, Gram] | None = None) -> dict[str, float]:
+    """Mean held-out MAPE of the five models. Reads the data twice in all.
+
+    ``parts`` are the sums of products per fold, if they are known already.
+    """
+    parts = parts or grams(df, features, label, part)
+    models = {k: solve_all(g) for k, g in _training_grams(parts).items()}
     return _held_out_mape(df, features, label, part, models)
 
 
@@ -367,19 +373,21 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, part: Column
     return sorted(((a, m, found[f"{a}/{m}"]) for a, m in grid), key=lambda r: (r[2], r[0], r[1]))
 
 
-def compare(spark: SparkSession, train: DataFrame, test: DataFrame, features: Sequence[str],
+def compare(train: DataFrame, test: DataFrame, features: Sequence[str],
             label: str, part: Column) -> DataFrame:
     """Fit the five models on ``train``; explained variance and MAPE on ``test`` and the
-    cross-validated MAPE on ``train``, in percent with four decimals."""
-    fitted = [Linear.of(name, fit(train, features, label, p)) for name, p in PENALTIES.items()]
-    fitted.append(replace(bayesian_ridge(grams(train, features, label)[0]), name="Bayesian"))
-    crossed = spark.createDataFrame(
-        list(cross_validate(train, features, label, part).items()),
-        "model string, cross_validated_mape double")
-    table = scores(test, features, label, fitted).join(F.broadcast(crossed), "model")
-
-    def percent(c: str) -> Column:
-        return F.round(F.col(c) * 100, 4).alias(c)
-
-    return table.select("model", percent("explained_variance"), percent("mape"),
-                        percent("cross_validated_mape"))
+    cross-validated MAPE on ``train``, in percent with four decimals.
+
+    Reads ``train`` twice and ``test`` once: the sums per fold add up to those of all rows.
+    """
+    parts = grams(train, features, label, part)
+    fitted = solve_all(sum(list(parts.values())[1:], next(iter(parts.values()))))
+    crossed = cross_validate(train, features, label, part, parts)
+    by_model = F.create_map(*[F.lit(v) for pair in crossed.items() for v in pair])
+
+    def percent(value: Column, name: str) -> Column:
+        return F.round(value * 100, 4).alias(name)
+
+    return scores(test, features, label, fitted).select(
+        "model", percent(F.col("explained_variance"), "explained_variance"),
+        percent(F.col("mape"), "mape"), percent(by_model[F.col("model")], "cross_validated_mape"))

@@ -123,10 +123,13 @@ class Views:
 
     @classmethod
     def open(cls, spark: SparkSession, root: str) -> Views:
+        """The released batch views, and the partials from the day of each cutoff on."""
+        batch = {v: read_batch(spark, root, v) for v in BATCH_VIEWS}
+        first = {
+            v: df.agg(F.max(F.col("started_at").cast("date")).alias("d")).first().d
+            for v, df in batch.items()}
         tables = Tables(root)
-        return cls(
-            {v: read_batch(spark, root, v) for v in BATCH_VIEWS},
-            {v: read_speed(spark, tables, v) for v in SPEED_VIEWS})
+        return cls(batch, {v: read_speed(spark, tables, v, first[v]) for v in SPEED_VIEWS})
 
 
 PANEL = "panel string, label string, value double"

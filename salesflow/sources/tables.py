@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,9 +66,27 @@ def write_batch(df: DataFrame, path: str, batch_id: int, schema: T.StructType,
     )
 
 
-def read_appended(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A table written by :func:`write_batch`, with its two partition columns."""
-    return spark.read.schema(schemas.partitioned(schema)).parquet(path)
+def read_appended(spark: SparkSession, path: str, schema: T.StructType,
+                  since: date | None = None) -> DataFrame:
+    """A table written by :func:`write_batch`, with its two partition columns.
+
+    With ``since`` the folders of earlier dates are not even listed, which counts
+    when years of micro-batches lie behind.
+    """
+    reader = spark.read.schema(schemas.partitioned(schema))
+    if since is None:
+        return reader.parquet(path)
+    folders = [f for f in date_folders(spark, path) if f >= f"{path}/created_date={since}"]
+    if not folders:
+        return empty(spark, schemas.partitioned(schema))
+    return reader.option("basePath", path).parquet(*folders)
+
+
+def date_folders(spark: SparkSession, path: str) -> list[str]:
+    """The date folders of a table: one name per day."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/created_date=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f"{path}/{s.getPath().getName()}" for s in files.globStatus(pattern) or [])
 
 
 def cluster_by_date(df: DataFrame, path: str, mode: str = "append") -> None:

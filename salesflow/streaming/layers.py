@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -119,16 +120,17 @@ def write_speed(rows: DataFrame, batch_id: int, tables: Tables,
         write_batch(partial_views(rows, views), tables.speed, batch_id, _PARTIALS, ("view",))
 
 
-def read_speed(spark: SparkSession, tables: Tables, view: str) -> DataFrame:
+def read_speed(spark: SparkSession, tables: Tables, view: str,
+               since: date | None = None) -> DataFrame:
     """A speed view with its own columns, plus ``created_date`` and ``batch_id``."""
-    stored = schemas.partitioned(T.StructType(_PARTIALS.fields[1:]))
-    partials = spark.read.schema(stored).parquet(f"{tables.speed}/view={view}")
+    stored = T.StructType(_PARTIALS.fields[1:])
+    partials = read_appended(spark, f"{tables.speed}/view={view}", stored, since)
     schema = schemas.partitioned(SPEED_VIEWS[view])
     return partials.withColumnRenamed("label", view).select(*schema.names)
 
 
-def read_lake(spark: SparkSession, tables: Tables) -> DataFrame:
-    return read_appended(spark, tables.lake, schemas.LAKE)
+def read_lake(spark: SparkSession, tables: Tables, since: date | None = None) -> DataFrame:
+    return read_appended(spark, tables.lake, schemas.LAKE, since)
 
 
 def _lake_batch(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:

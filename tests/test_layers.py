@@ -386,3 +386,18 @@ def test_clustered_table_prunes_folders(spark, folder):
     window = S.since(table, ntz("2020-01-03 00:00:00"), ntz("2020-01-05 00:00:00"))
     assert sorted(r.id for r in window.collect()) == [2, 3, 4]
     assert len(window.inputFiles()) >= 3
+
+
+def test_reads_from_a_date_on_list_only_those_folders(spark, folder):
+    tables = Tables(folder("t"))
+    rows = spark.range(4).select(
+        F.lit("T").alias("town"), F.lit("Condo").alias("property_type"),
+        F.lit(1.0).alias("sale_amount"), F.lit(0.5).alias("sales_ratio"),
+        (ntz("2020-01-01 00:00:00") + F.make_dt_interval(F.col("id").cast("int")))
+        .alias("created_at"))
+    write_speed(rows, 0, tables)
+    late = read_speed(spark, tables, "town", datetime.date(2020, 1, 3))
+    assert counts(late, "town") == {"T": 2}
+    assert not [f for f in late.inputFiles() if "2020-01-01" in f or "2020-01-02" in f]
+    assert late.schema == read_speed(spark, tables, "town").schema
+    assert read_speed(spark, tables, "town", datetime.date(2021, 1, 1)).count() == 0
