@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.catalog.base import (
-    COMPLETE, CUTOFF, ENDED, NOW, batch_of, month_cells, month_totals, on_sales, on_views, query,
-    speed_of)
+    COMPLETE, CUTOFF, DATE_TEXT, ENDED, NOW, date_text, month_cells, month_totals, on_sales,
+    on_views, query, speed_of)
 from salesflow.functions.cleaning import drop_incomplete, ntz, stamp
 from salesflow.operators import aggregates as A
 from salesflow.operators.ordering import bounded_sample, preview, sort_by_date
@@ -147,12 +147,11 @@ def ratio_of_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("sort_by_date", on_sales(
-    "SELECT date_recorded, serial_number, sale_amount FROM sales "
-    "ORDER BY date_recorded, serial_number"))
+    f"SELECT {DATE_TEXT}, serial_number, sale_amount FROM sales"))
 def sorted_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_sales(spark, sales_files(spark, sf_dir)).select(
         "date_recorded", "serial_number", "sale_amount")
-    return sort_by_date(rows, "serial_number")
+    return date_text(sort_by_date(rows, "serial_number"))
 
 
 @query("bounded_sample", "SELECT least(count(*), 1000) AS n FROM lineitem")
@@ -162,8 +161,8 @@ def sample_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("preview", on_sales(
-    "SELECT serial_number, date_recorded, location FROM sales "
-    "ORDER BY date_recorded, serial_number, location LIMIT 5"))
+    f"SELECT serial_number, {DATE_TEXT}, location FROM "
+    f"(SELECT * FROM sales ORDER BY date_recorded, serial_number, location LIMIT 5)"))
 def first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preview(sales(spark, sf_dir, "serial_number", "date_recorded", "location"), 5,
-                   "date_recorded", "serial_number", "location")
+    rows = sales(spark, sf_dir, "serial_number", "date_recorded", "location")
+    return date_text(preview(rows, 5, "date_recorded", "serial_number", "location"))

@@ -394,7 +394,7 @@ def _grid(spark: SparkSession, train: DataFrame, names: list[str], label: str) -
     fitted=_five("inner_moments"), crossed=_CROSSED,
     **_bayes_views(f"SELECT 0 AS part, {_CENTRED} FROM xy WHERE NOT held", "whole_"),
     final=_five("whole", "whole_bayes"),
-    evaluated=f"SELECT model, round((1 - var_pop(y - (b + w * x)) / var_pop(y)) * 100, 4) "
+    evaluated=f"SELECT model, round((1 - var_pop(y - (b + w * x)) / var_pop(y)) * 100, 4) + 0 "
               f"AS explained_variance, round({_error('y', 'b + w * x')} * 100, 4) AS mape "
               f"FROM xy, final WHERE held GROUP BY model")))
 def model_compare_one_feature(spark: SparkSession, sf_dir: str) -> DataFrame:

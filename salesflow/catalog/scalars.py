@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from salesflow import schemas
 from salesflow.catalog.base import (
-    CUTOFF, ENDED, NOW, STAMP, batch_of, month_cells, on_sales, on_views, query, speed_of)
+    CUTOFF, DATE_TEXT, ENDED, NOW, STAMP, batch_of, date_text, month_cells, on_sales, on_views, query, speed_of)
 from salesflow.functions import cleaning as C
 from salesflow.functions.wire import as_text, decode, encode
 from salesflow.operators.aggregates import count_by
@@ -51,14 +51,14 @@ def _date_texts(rows: DataFrame) -> DataFrame:
 
 
 @query("type_cast", on_sales(
-    "SELECT serial_number, CASE WHEN serial_number % 3 = 2 THEN NULL ELSE date_recorded END "
-    "AS date_recorded, sale_amount, list_year FROM sales"))
+    "SELECT serial_number, CASE WHEN serial_number % 3 = 2 THEN NULL ELSE "
+    "CAST(date_recorded AS VARCHAR) END AS date_recorded, sale_amount, list_year FROM sales"))
 def type_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _date_texts(sales(spark, sf_dir, "serial_number", "date_recorded", "sale_amount",
                              "list_year"))
     texts = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
     target = T.StructType([schemas.SALE[c] for c in texts.columns])
-    return C.cast_sales(texts, target)
+    return date_text(C.cast_sales(texts, target))
 
 
 @query("blank_to_null", on_sales(
@@ -112,13 +112,14 @@ def json_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("json_decode", on_sales(
     "SELECT serial_number, list_year, strftime(date_recorded, '%Y-%m-%d') AS date_recorded, town, "
-    "address, assessed_value, sale_amount, isnan(sales_ratio) AS ratio_is_nan, property_type, "
+    "address, assessed_value, sale_amount, CASE WHEN isnan(sales_ratio) THEN 'NaN' "
+    "WHEN sales_ratio IS NOT NULL THEN 'number' END AS ratio_kind, property_type, "
     "residential_type, assessor_remarks, opm_remarks, location FROM sales"))
 def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode(encode(sales(spark, sf_dir, *_SENT, heavy=True))).select(
         "serial_number", "list_year", "date_recorded", "town", "address", "assessed_value",
-        "sale_amount", F.when(F.col("sales_ratio").isNotNull(), F.isnan("sales_ratio"))
-        .alias("ratio_is_nan"), "property_type", "residential_type", "assessor_remarks",
+        "sale_amount", F.when(F.isnan("sales_ratio"), "NaN")
+        .when(F.col("sales_ratio").isNotNull(), "number").alias("ratio_kind"), "property_type", "residential_type", "assessor_remarks",
         "opm_remarks", "location")
 
 
@@ -131,11 +132,11 @@ def bytes_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("parse_date", on_sales(
-    "SELECT serial_number, CASE WHEN serial_number % 3 = 0 THEN date_recorded END "
-    "AS date_recorded FROM sales"))
+    "SELECT serial_number, CASE WHEN serial_number % 3 = 0 THEN CAST(date_recorded AS VARCHAR) "
+    "END AS date_recorded FROM sales"))
 def parse_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _date_texts(sales(spark, sf_dir, "serial_number", "date_recorded"))
-    return rows.withColumn("date_recorded", C.parse_date(F.col("date_recorded")))
+    return date_text(rows.withColumn("date_recorded", C.parse_date(F.col("date_recorded"))))
 
 
 @query("audit_columns", on_sales(
@@ -179,7 +180,7 @@ _ORDER = ["date_recorded", "serial_number", "sale_amount", "location"]
 
 
 @query("row_slice", on_sales(
-    "SELECT date_recorded, serial_number, sale_amount, location, position FROM ordered "
+    f"SELECT {DATE_TEXT}, serial_number, sale_amount, location, position FROM ordered "
     "WHERE position >= n // 3 AND position < 2 * n // 3",
     ordered="SELECT date_recorded, serial_number, sale_amount, location, "
             "row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in _ORDER)
@@ -187,7 +188,7 @@ _ORDER = ["date_recorded", "serial_number", "sale_amount", "location"]
 def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stage(sales(spark, sf_dir, *_ORDER), "rows")
     n = rows.count()
-    return slice_rows(rows, _ORDER, n // 3, 2 * n // 3)
+    return date_text(slice_rows(rows, _ORDER, n // 3, 2 * n // 3))
 
 
 @query("kpi_scale", on_sales(

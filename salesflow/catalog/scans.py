@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from salesflow import schemas
 from salesflow.catalog.base import (
-    CUTOFF, NOW, STAMP, digest, digest_sql, feed_parts, lake, message_topic,
+    CUTOFF, DATE_TEXT, NOW, STAMP, date_text, digest, digest_sql, feed_parts, lake, message_topic,
     on_sales, on_views, query)
 from salesflow.functions.cleaning import cast_sales, ntz, rename_to, snake_case, stamp
 from salesflow.functions.wire import decode
@@ -43,10 +43,10 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("parquet_scan", on_sales(
-    "SELECT serial_number, list_year, date_recorded, town, sale_amount FROM sales"))
+    f"SELECT serial_number, list_year, {DATE_TEXT}, town, sale_amount FROM sales"))
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_sales(spark, sales_files(spark, sf_dir)).select(
-        "serial_number", "list_year", "date_recorded", "town", "sale_amount")
+    return date_text(read_sales(spark, sales_files(spark, sf_dir)).select(
+        "serial_number", "list_year", "date_recorded", "town", "sale_amount"))
 
 
 def _in_order(ranges: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def clustered_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("schema_contract", on_sales(
-    "SELECT serial_number, list_year, date_recorded, town, address, assessed_value, sale_amount, "
+    f"SELECT serial_number, list_year, {DATE_TEXT}, town, address, assessed_value, sale_amount, "
     "coalesce(sales_ratio, -1) AS sales_ratio, property_type, location, created_at "
     "FROM sales WHERE sales_ratio IS NULL OR NOT isnan(sales_ratio)"))
 def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +215,7 @@ def schema_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
             "serial_number": F.col("serial_number").cast("decimal(20,0)")})
     table = schemas.conform(loose, schemas.LAKE)
     assert table.schema.simpleString() == schemas.LAKE.simpleString()
-    return table.filter(F.col("sales_ratio").isNull() | ~F.isnan("sales_ratio")).select(
+    return date_text(table).filter(F.col("sales_ratio").isNull() | ~F.isnan("sales_ratio")).select(
         "serial_number", "list_year", "date_recorded", "town", "address", "assessed_value",
         "sale_amount", F.coalesce("sales_ratio", F.lit(-1.0)).alias("sales_ratio"),
         "property_type", "location", "created_at")

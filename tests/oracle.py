@@ -29,7 +29,7 @@ def _plain(value):
     if isinstance(value, float) and math.isnan(value):
         return "nan"
     if isinstance(value, float) and value == 0:
-        return 0.0
+        return str(value)  # 0.0 and -0.0 differ
     if isinstance(value, datetime.datetime):
         return value.replace(tzinfo=None)
     return value
