@@ -15,7 +15,9 @@ PART = "serial_number"
 
 @pytest.fixture(scope="module")
 def lake(spark, sf_dir):
-    return sales(spark, sf_dir).persist()
+    rows = sales(spark, sf_dir).persist()
+    yield rows
+    rows.unpersist()
 
 
 @pytest.fixture(scope="module")
