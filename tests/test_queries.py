@@ -38,7 +38,7 @@ def test_foreign_keys_of_the_test_tables(sf_dir, duck):
         "customer": [("c_nationkey", "nation", "n_nationkey")],
     }
     for child, keys in links.items():
-        (rows,) = duck.sql(f"SELECT count(*) FROM {child}").fetchone()
+        (rows,) = duck.execute(f"SELECT count(*) FROM {child}").fetchone()
         for key, parent, parent_key in keys:
-            joined = duck.sql(f"SELECT count(*) FROM {child} JOIN {parent} ON {key} = {parent_key}")
+            joined = duck.execute(f"SELECT count(*) FROM {child} JOIN {parent} ON {key} = {parent_key}")
             assert joined.fetchone() == (rows,)
