@@ -186,7 +186,7 @@ _ORDER = ["date_recorded", "serial_number", "sale_amount", "location"]
             "row_number() OVER (ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in _ORDER)
             + ") - 1 AS position, count(*) OVER () AS n FROM sales"))
 def row_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stage(sales(spark, sf_dir, *_ORDER), "rows")
+    rows = stage(sales(spark, sf_dir, *_ORDER, heavy=True), "rows")
     n = rows.count()
     return date_text(slice_rows(rows, _ORDER, n // 3, 2 * n // 3))
 
