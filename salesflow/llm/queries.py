@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import chat, decontamination, jaccard, langid, lines, packing, pii, toxicity
+from salesflow.llm import chat, decontamination, jaccard, langid, lines, packing, pii, search, tokens, toxicity
+from salesflow.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,6 +131,43 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.span_text(spans).alias("spans"))
 
 
+# --- 4 token ids
+
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op4_token_ids")
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), path)
+    return tokens.read_tokens(spark, path)
+
+
+# --- 5 exact top-k search
+
+@query("op5_topk_search", f"""
+WITH docs AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+corpus AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM docs),
+tf AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest(w) AS term FROM docs) GROUP BY 1, 2),
+df AS (SELECT term, ln(1 + (any_value(corpus.n) - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+  FROM tf, corpus GROUP BY term),
+scores AS (
+  SELECT q.doc_id AS query_id, t.doc_id, round(sum(q.c * idf * t.c * 2.2
+    / (t.c + 1.2 * (0.25 + 0.75 * len(w) / mean))), 6) AS score
+  FROM tf AS q JOIN df USING (term) JOIN tf AS t USING (term) JOIN docs ON docs.doc_id = t.doc_id, corpus
+  WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
+ranked AS (SELECT query_id, CAST(row_number() OVER (
+  PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 10""")
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    asked = docs.filter(search.every_hundredth(F.col("doc_id"))).withColumnRenamed("doc_id", "query_id")
+    return search.top_k(search.build_index(docs), asked, 10)
+
+
 # --- 6 line dedup
 
 @query("op6_line_dedup", rf"""
