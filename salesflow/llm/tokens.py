@@ -8,7 +8,7 @@
 4. The reader decodes blocks in parallel, checks their checksums, and adds what stands before them.
 
 The library is slow on long texts, and words repeat. So a text is cut into the tokenizer's own
-pre-tokens by a vectorised scan, the library encodes each distinct pre-token once per task (a bounded
+pre-tokens by a vectorised scan, the library encodes each distinct pre-token once per worker (a bounded
 memory), and the ids are gathered. A text with a character outside the scan's range (beyond U+024F,
 control characters, contractions, special tokens) goes to the library as a whole.
 
@@ -22,6 +22,7 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,9 @@ from salesflow.session import work_dir
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
-KNOWN_WORDS = 1 << 20  # distinct pre-tokens that a task remembers before it starts anew
+SLOTS = 1 << 20  # pre-tokens that a worker finds again at once
+ROW = 1024  # new pre-tokens that are encoded as one text
+KNOWN_WORDS = 2 << 20  # encoded pre-tokens after which a worker starts anew
 
 _OTHER, _LETTER, _NUMBER, _SPACE, _ODD = range(5)
 
@@ -97,51 +100,72 @@ class Encoder:
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
+        words = self.library.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(words.values()) + 1, np.int64)  # bytes of each id: one per character
+        self.sizes[list(words.values())] = [len(w) for w in words]
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[int, int] = {}
-        self.quick_key = np.zeros(1 << 18, np.uint64)
-        self.quick_place = np.zeros(1 << 18, np.int32)
-        self.begin, self.count, self.flat = [np.zeros(1 << 12, np.int64) for _ in range(3)]
+        self.keys = np.zeros(SLOTS, np.uint64)  # the pre-token that a slot holds
+        self.place = np.zeros(SLOTS, np.int32)
+        self.begin, self.count = np.zeros(1 << 12, np.int32), np.zeros(1 << 12, np.int32)
+        self.flat = np.zeros(1 << 12, np.int32)
         self.words = self.used = 0
 
-    def _append(self, ids: list[list[int]]) -> None:
-        counts = np.array([len(x) for x in ids], np.int64)
-        total = int(counts.sum())
-        self.begin = _grown(self.begin, self.words + len(ids))
-        self.count = _grown(self.count, self.words + len(ids))
-        self.flat = _grown(self.flat, self.used + total)
-        self.begin[self.words:self.words + len(ids)] = self.used + np.cumsum(counts) - counts
-        self.count[self.words:self.words + len(ids)] = counts
-        self.flat[self.used:self.used + total] = np.concatenate([np.array(x, np.int64) for x in ids])
-        self.words += len(ids)
-        self.used += total
-
-    def _places(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
-                ) -> np.ndarray:
+    def _learn(self, spans: list[bytes], lettered: int) -> None:
+        """Encode pre-tokens, the first ``lettered`` of them many in one text."""
+        rows = [spans[a:min(a + ROW, lettered)] for a in range(0, lettered, ROW)]
+        texts = [b"".join(r).decode() for r in rows]
+        for found, row in zip(self._encoded(texts), rows, strict=True):
+            ids = np.array(found.ids, np.int32)
+            reached = np.cumsum(self.sizes[ids])
+            ends = np.cumsum(np.fromiter(map(len, row), np.int64, len(row)))
+            last = np.searchsorted(reached, ends)
+            if last[-1] < len(reached) and np.array_equal(reached[last], ends):
+                self._append(np.diff(last, prepend=-1), ids)
+            else:  # an id reaches over the end of a pre-token
+                self._append_each(row)
+        self._append_each(spans[lettered:])
+
+    def _encoded(self, texts: list[str]) -> list:
+        return self.library.encode_batch_fast(texts, add_special_tokens=False)
+
+    def _append_each(self, spans: list[bytes]) -> None:
+        ids = [e.ids for e in self._encoded([x.decode() for x in spans])]
+        self._append(np.fromiter(map(len, ids), np.int32, len(ids)),
+                     np.fromiter(chain.from_iterable(ids), np.int32))
+
+    def _append(self, counts: np.ndarray, ids: np.ndarray) -> None:
+        words, used = self.words + len(counts), self.used + len(ids)
+        self.begin, self.count = _grown(self.begin, words), _grown(self.count, words)
+        self.flat = _grown(self.flat, used)
+        self.begin[self.words:words] = self.used + np.cumsum(counts) - counts
+        self.count[self.words:words] = counts
+        self.flat[self.used:used] = ids
+        self.words, self.used = words, used
+
+    def _places(self, keys: np.ndarray, data: np.ndarray, kinds: np.ndarray, starts: np.ndarray,
+                ends: np.ndarray) -> np.ndarray:
         """The number of each pre-token among the known ones; new ones are encoded."""
-        slot = (keys & np.uint64(len(self.quick_key) - 1)).astype(np.int64)
-        out = self.quick_place[slot].astype(np.int64)
-        missed = np.flatnonzero(self.quick_key[slot] != keys)
+        slot = (keys & np.uint64(SLOTS - 1)).astype(np.int32)
+        out = self.place[slot]
+        missed = np.flatnonzero(self.keys[slot] != keys)
         if len(missed):
             some, first, back = np.unique(keys[missed], return_index=True, return_inverse=True)
-            listed = some.tolist()
-            found = np.array([self.place.get(k, -1) for k in listed], np.int64)
-            new = np.flatnonzero(found < 0)
-            if len(new):
-                at = missed[first[new]]
-                raw = data.tobytes()
-                texts = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(),
-                                                           strict=True)]
-                found[new] = self.words + np.arange(len(new))
-                self.place.update((listed[i], int(found[i])) for i in new.tolist())
-                self._append([e.ids for e in self.library.encode_batch_fast(
-                    texts, add_special_tokens=False)])
-            out[missed] = found[back]
-            spots = (some & np.uint64(len(self.quick_key) - 1)).astype(np.int64)
-            self.quick_key[spots] = some
-            self.quick_place[spots] = found
+            at = missed[first]
+            # a space and letters: such pre-tokens in a row are cut again in the same places
+            second = np.minimum(starts[at] + 1, ends[at] - 1)
+            lettered = (data[starts[at]] == 0x20) & (kinds[second] == _LETTER)
+            row = np.concatenate([np.flatnonzero(lettered), np.flatnonzero(~lettered)])
+            new = np.empty(len(some), np.int32)
+            new[row] = self.words + np.arange(len(some))
+            raw = data.tobytes()
+            spans = [raw[a:b] for a, b in zip(starts[at[row]].tolist(), ends[at[row]].tolist(),
+                                              strict=True)]
+            self._learn(spans, int(lettered.sum()))
+            out[missed] = new[back]
+            self.keys[slot[at]] = some
+            self.place[slot[at]] = new
         return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +177,7 @@ class Encoder:
         data = np.frombuffer(text.buffers()[2] or b"", np.uint8)[borders[0]:borders[-1]]
         borders = borders - borders[0]
         if not len(data):
-            return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(texts), np.int64)
         kinds = char_kinds(data)
         odd = np.asarray(pc.match_substring_regex(text, _LEFT_OUT)).copy()
         strange = np.flatnonzero(kinds == _ODD)
@@ -162,7 +186,7 @@ class Encoder:
             return self._mixed(texts, odd)
         starts = pre_tokens(data, kinds, borders)
         ends = np.append(starts[1:], len(data))
-        place = self._places(span_hashes(data, starts, ends), data, starts, ends)
+        place = self._places(span_hashes(data, starts, ends), data, kinds, starts, ends)
         counts = self.count[place]
         before = np.concatenate([[0], np.cumsum(counts)])
         take = np.repeat(self.begin[place] - before[:-1], counts) + np.arange(before[-1])
@@ -171,27 +195,35 @@ class Encoder:
 
     def _mixed(self, texts: pa.Array, odd: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Some texts by the scan, the odd ones by the library."""
-        ids: list[np.ndarray] = [np.zeros(0, np.int64)] * len(texts)
+        ids: list[np.ndarray] = [np.zeros(0, np.int32)] * len(texts)
         plain = np.flatnonzero(~odd)
         if len(plain):
             all_ids, counts = self.encode(texts.take(pa.array(plain)))
             for i, part in zip(plain.tolist(), np.split(all_ids, np.cumsum(counts)[:-1]), strict=True):
                 ids[i] = part
         rest = np.flatnonzero(odd)
-        found = self.library.encode_batch_fast(texts.take(pa.array(rest)).to_pylist(),
-                                               add_special_tokens=False)
+        found = self._encoded(texts.take(pa.array(rest)).to_pylist())
         for i, e in zip(rest.tolist(), found, strict=True):
-            ids[i] = np.array(e.ids, np.int64)
+            ids[i] = np.array(e.ids, np.int32)
         return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
 
 
+_encoders: dict[str, Encoder] = {}  # of this worker process: later tasks know the words already
+
+
+def encoder(path: str) -> Encoder:
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def _grown(have: np.ndarray, need: int) -> np.ndarray:
     return have if need <= len(have) else np.concatenate([have, np.zeros(max(need, len(have)), have.dtype)])
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch], path: str, vocabulary: int) -> Iterator[pa.RecordBatch]:
     """A row of ids for each document, then a row for each id's count in this task."""
-    encoder = Encoder(path)
+    known = encoder(path)
     part = TaskContext.get().partitionId()
     width = np.uint16 if vocabulary <= 1 << 16 else np.uint32
     totals = np.zeros(vocabulary, np.int64)
@@ -207,7 +239,7 @@ def _token_rows(batches: Iterator[pa.RecordBatch], path: str, vocabulary: int) -
     for batch in batches:
         kind = batch.schema.field(0).type
         for first, texts in pieces(pc.fill_null(batch.column(1), "")):
-            ids, counts = encoder.encode(texts)
+            ids, counts = known.encode(texts)
             totals += np.bincount(ids, minlength=vocabulary)
             totals[END_ID] += len(texts)
             bounds = np.concatenate([[0], np.cumsum(counts)]).tolist()
