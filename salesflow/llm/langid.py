@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from salesflow.llm.ngrams import grams
 
-SAMPLE_ROWS = 4000
+SAMPLE_ROWS = 3000
 SIZES = (2, 3, 4)
 UNKNOWN = "und"
 
@@ -45,12 +45,14 @@ class Model:
 
 def _bags(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, bucket, share of the text's n-grams) of every bucket that a text uses."""
-    texts_, buckets_ = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    codes, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for _, owner, value in grams(texts, SIZES):
-        texts_.append(owner.astype(np.int64))
-        buckets_.append((value % np.uint32(buckets)).astype(np.int64))
-    code, count = np.unique(np.concatenate(texts_) * buckets + np.concatenate(buckets_),
+        code, n = np.unique(owner.astype(np.int64) * buckets + value % np.uint32(buckets),
                             return_counts=True)
+        codes.append(code)
+        counts.append(n)
+    code, place = np.unique(np.concatenate(codes), return_inverse=True)
+    count = np.bincount(place, weights=np.concatenate(counts), minlength=len(code))
     owner = code // buckets
     total = np.bincount(owner, weights=count, minlength=len(texts))
     return owner, code % buckets, (count / total[owner]).astype(np.float32)

@@ -29,7 +29,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from salesflow.llm.ngrams import grams
 
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 SIZES = (4, 5)
 THRESHOLD = 0.7
 _SIEVE = 1 << 20
@@ -44,27 +44,28 @@ class Model:
     bias: float
 
 
-def presences(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) once for every n-gram that a text holds, ordered by text.
+def _split(code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return code >> 32, code & 0xFFFFFFFF
 
-    A feature is a hash, or with ``wanted`` (sorted hashes) the place of the hash in it.
-    """
-    owners, features = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    if wanted is not None:
-        sieve = np.zeros(_SIEVE, bool)
-        sieve[wanted % np.uint32(_SIEVE)] = True
+
+def _distinct(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, hash) of the n-grams of a piece of the texts, once per block."""
     for _, owner, value in grams(texts, SIZES):
-        if wanted is not None:
-            near = np.flatnonzero(sieve[value & np.uint32(_SIEVE - 1)])
-            owner, value = owner[near], value[near]
-            place = np.searchsorted(wanted, value)
-            hit = np.flatnonzero(wanted[np.minimum(place, len(wanted) - 1)] == value)
-            owner, value = owner[hit], place[hit]
-        code = np.unique((owner.astype(np.int64) << 32) | value.astype(np.int64))
-        owners.append(code >> 32)
-        features.append(code & 0xFFFFFFFF)
-    code = np.unique((np.concatenate(owners) << 32) | np.concatenate(features))
-    return code >> 32, code & 0xFFFFFFFF
+        yield _split(np.unique((owner.astype(np.int64) << 32) | value.astype(np.int64)))
+
+
+def presences(texts: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place in ``wanted``, which is sorted) once for every wanted n-gram that a text holds."""
+    codes = [np.zeros(0, np.int64)]
+    sieve = np.zeros(_SIEVE, bool)
+    sieve[wanted % np.uint32(_SIEVE)] = True
+    for _, owner, value in grams(texts, SIZES):
+        near = np.flatnonzero(sieve[value & np.uint32(_SIEVE - 1)])
+        owner, value = owner[near], value[near]
+        place = np.searchsorted(wanted, value)
+        hit = np.flatnonzero(wanted[np.minimum(place, len(wanted) - 1)] == value)
+        codes.append(np.unique((owner[hit].astype(np.int64) << 32) | place[hit]))
+    return _split(np.unique(np.concatenate(codes)))
 
 
 def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, least_docs: int = 4,
@@ -79,13 +80,24 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, least_docs: in
     if not toxic.any() or toxic.all():
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(0, np.uint32), np.zeros(0), float(np.log(share / (1 - share))))
-    owner, code = presences(texts)
+    least = max(least_docs, least_share * min(toxic.sum(), (~toxic).sum()))
+
+    def ratios(with_it: np.ndarray, without: np.ndarray) -> np.ndarray:
+        return np.log(((with_it + smooth) / (toxic.sum() + 2 * smooth))
+                      / ((without + smooth) / ((~toxic).sum() + 2 * smooth)))
+
+    # first by buckets of hashes, so that only promising n-grams are held for all texts
+    counts = np.zeros((2, _SIEVE), np.int64)
+    for owner, code in _distinct(texts):
+        for side in (0, 1):
+            counts[side] += np.bincount(code[toxic[owner] == side] % _SIEVE, minlength=_SIEVE)
+    promising = (counts.sum(axis=0) >= least) & (np.abs(ratios(counts[1], counts[0])) >= least_ratio / 2)
+    owner, code = (np.concatenate(x) for x in zip(*(
+        (o[promising[c % _SIEVE]], c[promising[c % _SIEVE]]) for o, c in _distinct(texts)), strict=True))
+    owner, code = _split(np.unique((owner << 32) | code))
     hashes, place, docs = np.unique(code, return_inverse=True, return_counts=True)
     with_it = np.bincount(place, weights=toxic[owner], minlength=len(hashes))
-    without = docs - with_it
-    ratio = np.log(((with_it + smooth) / (toxic.sum() + 2 * smooth))
-                   / ((without + smooth) / ((~toxic).sum() + 2 * smooth)))
-    least = max(least_docs, least_share * min(toxic.sum(), (~toxic).sum()))
+    ratio = ratios(with_it, docs - with_it)
     used = np.flatnonzero((docs >= least) & (np.abs(ratio) >= least_ratio))
     new = np.full(len(hashes), -1)
     new[used] = np.arange(len(used))
