@@ -139,7 +139,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, **params)
     bound = F.when(F.col("toxic") == 1, int(share[1] * (1 << 30))).otherwise(int(share[0] * (1 << 30)))
     chosen = known.filter(spot < bound)
     text = docs.select(F.col("doc_id").alias("__id"), "text")
-    table = text.join(chosen, "__id").select("text", "toxic").toArrow()
+    # a broadcast of about ``rows`` ids: no text is shuffled
+    table = text.join(F.broadcast(chosen), "__id").select("text", "toxic").toArrow()
     table = table.take(pc.sort_indices(table, [("text", "ascending"), ("toxic", "ascending")]))
     texts = pa.concat_arrays(table.column("text").chunks) if len(table) else pa.array([], pa.string())
     labels_ = np.asarray(table.column("toxic")).astype(np.int64)
