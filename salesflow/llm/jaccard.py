@@ -4,11 +4,13 @@ The global order of all shingles (by hash, the very frequent ones last) is cut i
 
 1. One pass gives every document the 128-bit key of its shingle set: documents with the same set
    are one node from here on. The same pass finds the shingles that are frequent in a block of
-   documents; the ``HOT_KEPT`` most frequent ones go last in the global order.
+   documents, and a count over all prefixes those in more than ``LIST_MOST`` of them; the
+   ``HOT_KEPT`` most frequent ones go last in the global order.
 2. Two sets that reach the similarity share a shingle among the first ``n - need + 1`` of the order
    (prefix). These prefixes, split into fragments, give lists of nodes per shingle; lists of a
    single node are dropped where they are gathered. Frequent shingles are never gathered.
-3. A pair is a candidate only if the places of the shared shingle leave room for enough overlap.
+3. A pair is a candidate only if the places of the shared shingle leave room for enough overlap,
+   and if their whole prefixes share enough.
 4. A candidate is settled by its overlap, counted separately in every fragment of the order and
    summed per pair. So every link is exact.
 
@@ -38,7 +40,8 @@ from salesflow.session import stage
 
 HOT_BLOCK = 2_000_000  # shingles in which frequent ones are counted at once
 HOT_LEAST = 16  # documents of a block that make a shingle frequent
-HOT_KEPT = 1 << 16  # frequent shingles that go last in the global order
+LIST_MOST = 32  # prefixes that may share a shingle before it counts as frequent
+HOT_KEPT = 1 << 18  # frequent shingles that go last in the global order
 GROUP_ENTRIES = 400_000  # prefix entries of one fragment
 FRAGMENTS = 4  # of the order, in which the overlaps of a pair are counted
 GROUP_PAIRS = 2_000
@@ -150,17 +153,18 @@ def _prefix(shingles: np.ndarray, hot: np.ndarray, hot_rank: np.ndarray, percent
     return np.concatenate([cold, hot[often]]), np.arange(length) >= len(cold)
 
 
-def prefix_lists(docs: DataFrame, sets: DataFrame, hot: DataFrame, size: int, percent: int
+def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int, nodes: bool
                  ) -> DataFrame:
-    """Stored: (shingle, node, n, place) of every prefix shingle that two nodes may share."""
+    """(fragment, entries): the packed prefix entries of every set, the frequent ones apart.
+
+    An entry is (shingle, node, n, place), or without ``nodes`` the shingle alone.
+    """
     table = hot.toArrow()  # at most HOT_KEPT rows
     shingles = np.asarray(table.column("shingle")).astype(np.int64).view(np.uint64)
     order = np.argsort(shingles)
     rank = np.empty(len(order), np.int64)  # the least frequent first
     rank[np.lexsort((shingles, np.asarray(table.column("n"))))] = np.arange(len(order))
     shared = docs.sparkSession.sparkContext.broadcast((shingles[order], rank[order]))
-    entries = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
-    groups = int(entries // GROUP_ENTRIES) + 1
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_, rank_ = shared.value
@@ -173,16 +177,14 @@ def prefix_lists(docs: DataFrame, sets: DataFrame, hot: DataFrame, size: int, pe
             node = np.repeat(np.array([f[2] for f in found], np.int64), counts)
             n = np.repeat(np.array([f[3] for f in found], np.int32), counts)
             place = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
-            # cold shingles by the high bits of their hash, frequent ones by the node
-            cold = ((shingle >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
-            by_node = mix(node.view(np.uint64)) % np.uint64(groups)
-            group = np.where(often, by_node + np.uint64(groups), cold).astype(np.int64)
+            # other shingles by their hash, frequent ones by the node
+            spot = mix(np.where(often, node.view(np.uint64), shingle)) % np.uint64(groups)
+            group = spot.astype(np.int64) + groups * often
             order = np.argsort(group, kind="stable")
             cuts = np.flatnonzero(np.r_[True, np.diff(group[order]) != 0, True])
-            payloads = []
-            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                part = order[a:b]
-                payloads.append(b"".join(x[part].tobytes() for x in (shingle, node, n, place)))
+            fields = (shingle, node, n, place) if nodes else (shingle,)
+            payloads = [b"".join(x[order[a:b]].tobytes() for x in fields)
+                        for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(group[order][cuts[:-1]]), pa.array(payloads, pa.binary())],
                 names=["fragment", "entries"])
@@ -204,6 +206,25 @@ def prefix_lists(docs: DataFrame, sets: DataFrame, hot: DataFrame, size: int, pe
         if found:
             yield sent(found)
 
+    return docs.select("text").mapInArrow(task, "fragment bigint, entries binary")
+
+
+def frequent_in_prefixes(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int
+                         ) -> DataFrame:
+    """Stored: (shingle, n) of ``hot``, and of the shingles in more than LIST_MOST prefixes."""
+    def count(rows: pa.Table) -> pa.Table:
+        entries = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64) for p in rows.column("entries")])
+        found, counts = np.unique(entries, return_counts=True)
+        often = counts > LIST_MOST
+        return pa.table({"shingle": found[often].view(np.int64), "n": counts[often].astype(np.int64)})
+
+    rows = _prefix_rows(docs, hot, groups, size, percent, nodes=False).filter(F.col("fragment") < groups)
+    more = rows.groupBy("fragment").applyInArrow(count, "shingle bigint, n bigint")
+    return stage(hot.union(more).orderBy(F.desc("n"), "shingle").limit(HOT_KEPT), "frequent-shingles")
+
+
+def prefix_lists(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int) -> DataFrame:
+    """Stored: (shingle, node, n, place) of every prefix shingle that two nodes may share."""
     def gather(rows: pa.Table) -> pa.Table:
         parts = [_unpacked(p.as_py()) for p in rows.column("entries")]
         shingle, node, n, place = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -213,14 +234,13 @@ def prefix_lists(docs: DataFrame, sets: DataFrame, hot: DataFrame, size: int, pe
         shingle, node, n, place = (x[first] for x in (shingle, node, n, place))
         if rows.column("fragment")[0].as_py() < groups:  # gathered by shingle: drop lone nodes
             same = shingle[1:] == shingle[:-1]
-            keep = np.r_[False, same] | np.r_[same, False] if len(shingle) else np.zeros(0, bool)
+            keep = np.r_[False, same] | np.r_[same, False]
             shingle, node, n, place = (x[keep] for x in (shingle, node, n, place))
         return pa.table({"shingle": shingle.view(np.int64), "node": node, "n": n, "place": place})
 
-    sent_ = docs.select("text").mapInArrow(task, "fragment bigint, entries binary")
-    lists = sent_.groupBy("fragment").applyInArrow(
-        gather, "shingle bigint, node bigint, n int, place int")
-    return stage(lists, "prefix-lists")
+    rows = _prefix_rows(docs, hot, groups, size, percent, nodes=True)
+    return stage(rows.groupBy("fragment").applyInArrow(
+        gather, "shingle bigint, node bigint, n int, place int"), "prefix-lists")
 
 
 def _unpacked(entries: bytes) -> tuple[np.ndarray, ...]:
@@ -243,10 +263,14 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 def star_candidates(lists: DataFrame, percent: int) -> DataFrame:
-    """Each list's smallest node with its other nodes."""
-    first = lists.groupBy("shingle").agg(F.min(F.struct("node", "n", "place")).alias("s"))
-    first = first.select("shingle", "s.node", "s.n", "s.place")
-    return _pairs(lists.alias("x").join(first.alias("y"), "shingle").filter(_room(percent)))
+    """Two nodes of each list with its other nodes: the one with the most room, and any one."""
+    entry = F.struct("node", "n", "place")
+    centres = lists.groupBy("shingle").agg(
+        F.min_by(entry, F.struct("place", "node")).alias("s"),
+        F.min_by(entry, F.xxhash64("node", "shingle")).alias("t"))
+    centres = centres.select("shingle", F.explode(F.array_distinct(F.array("s", "t"))).alias("c"))
+    centres = centres.select("shingle", "c.*")
+    return _pairs(lists.alias("x").join(centres.alias("y"), "shingle").filter(_room(percent)))
 
 
 def cross_candidates(lists: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -277,6 +301,27 @@ def _bit_map(nodes: DataFrame) -> np.ndarray:
     return bits
 
 
+def node_prefixes(lists: DataFrame) -> DataFrame:
+    """Stored: (node, n, shingles) of every node's entries."""
+    return stage(lists.groupBy("node").agg(
+        F.first("n").alias("n"), F.collect_list("shingle").alias("shingles")), "node-prefixes")
+
+
+def plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Stored: the ``pairs`` whose prefixes share as much as a similar pair's must.
+
+    The prefix is the first fragment of the order: what two sets share beyond it is less than the
+    overlap that the larger one needs with any set.
+    """
+    a, b = (prefixes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
+                            F.col("shingles").alias(f"s_{x}")) for x in "ab")
+    beyond = F.ceil(F.greatest("n_a", "n_b") * percent / 100) - 1
+    need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
+    both = pairs.join(a, "a").join(b, "b")
+    kept = both.filter(F.size(F.array_intersect("s_a", "s_b")) + beyond >= need)
+    return stage(kept.select("a", "b"), "candidates")
+
+
 def settle(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """Stored: (a, b, overlap, n_a, n_b) of the ``pairs`` (stored) that reach the similarity."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -361,15 +406,19 @@ def similar_sets(docs: DataFrame, size: int = 5, percent: int = 80, all_links: b
     if not clash.isEmpty():
         raise RuntimeError("two different shingle sets have the same 64-bit key")
     members = sets.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"), "n")
-    lists = prefix_lists(docs, sets, hot, size, percent)
+    entries = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+    groups = int(entries // GROUP_ENTRIES) + 1
+    hot = frequent_in_prefixes(docs, hot, groups, size, percent)
+    lists = prefix_lists(docs, hot, groups, size, percent)
+    prefixes = node_prefixes(lists)
     if all_links:
         every = _pairs(lists.alias("x").join(lists.alias("y"), "shingle").filter(
             (F.col("x.node") < F.col("y.node")) & _room(percent)))
-        return members, settle(docs, stage(every, "candidates"), size, percent)
-    star = stage(star_candidates(lists, percent), "candidates")
-    links = settle(docs, star, size, percent)
+        return members, settle(docs, plausible(every, prefixes, percent), size, percent)
+    star = stage(star_candidates(lists, percent), "star-candidates")
+    links = settle(docs, plausible(star, prefixes, percent), size, percent)
     cross = cross_candidates(lists, components(links), percent)
-    cross = stage(cross.join(star, ["a", "b"], "left_anti"), "candidates")
+    cross = plausible(cross.join(star, ["a", "b"], "left_anti"), prefixes, percent)
     return members, links.union(settle(docs, cross, size, percent))
 
 
