@@ -30,7 +30,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from salesflow.llm.ngrams import grams
 
 SAMPLE_ROWS = 4000
-SIZES = (4, 5)
+SIZES = (4, 6, 9)
 THRESHOLD = 0.7
 _SIEVE = 1 << 20
 
@@ -69,7 +69,7 @@ def presences(texts: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, least_docs: int = 4,
-        least_share: float = 0.01, least_ratio: float = 1.5, smooth: float = 1.0, l2: float = 1e-3, steps: int = 300) -> Model:
+        least_share: float = 0.02, least_ratio: float = 2.0, smooth: float = 1.0, l2: float = 1e-3, steps: int = 300) -> Model:
     """Ratios, then a weighted logistic regression on the scaled presences.
 
     An n-gram needs ``least_docs`` texts, and ``least_share`` of the smaller class: labels are
