@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 CONTEXT_CHARS = 48
 THRESHOLD = 0.5
 CONTEXT_BONUS = 0.3
+CHUNK = 512
 
 
 def digits(match: Column) -> Column:
@@ -96,12 +97,28 @@ KINDS = (
 )
 
 
-def spans_of(text: Column, kind: Kind) -> Column:
-    """array<struct<kind, start, end, score>> of the confirmed matches of one kind in ``text``."""
-    matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    gaps = F.split(text, kind.pattern, -1)
-    none = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,score:double>>")
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("out"))
+PAIRS = "array<struct<gap:string,match:string>>"
+SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double>>"
+
+
+def matches_of(text: Column, kind: Kind) -> Column:
+    """The matches of one kind's pattern in ``text``."""
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    return F.when(text.contains(kind.hint), found).otherwise(F.array().cast("array<string>")) \
+        if kind.hint else found
+
+
+def pairs_of(text: Column, matches: Column, kind: Kind) -> Column:
+    """Each match with the text between it and the one before."""
+    pairs = F.zip_with(F.split(text, kind.pattern, -1), matches,
+                       lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+    return F.when(F.size(matches) > 0, F.filter(pairs, lambda p: p["match"].isNotNull())).otherwise(
+        F.array().cast(PAIRS))
+
+
+def spans_of(pairs: Column, kind: Kind) -> Column:
+    """The confirmed matches of one kind."""
+    none = F.array().cast(SPANS)
 
     def step(acc: Column, pair: Column) -> Column:
         gap, match = pair["gap"], pair["match"]
@@ -116,17 +133,35 @@ def spans_of(text: Column, kind: Kind) -> Column:
         return F.struct(end.alias("at"), F.when(keep, F.concat(acc["out"], F.array(span)))
                         .otherwise(acc["out"]).alias("out"))
 
-    count = F.size(matches)
-    pairs = F.zip_with(F.slice(gaps, F.lit(1), count), matches,
-                       lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
-    found = F.when(count > 0, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(none)
-    return F.when(text.contains(kind.hint), found).otherwise(none) if kind.hint else found
+    def begun(at: Column) -> Column:
+        return F.struct(at.alias("at"), none.alias("out"))
+
+    def width(total: Column, pair: Column) -> Column:
+        return total + F.length(pair["gap"]) + F.length(pair["match"])
+
+    def in_chunks(pairs: Column) -> Column:
+        """Fold ``CHUNK`` matches at a time, so that time stays linear in their number."""
+        zero = F.lit(0).cast("bigint")
+        chunks = F.transform(F.sequence(F.lit(0), F.size(pairs) - 1, F.lit(CHUNK)),
+                             lambda i: F.slice(pairs, i + 1, F.lit(CHUNK)))
+        starts = F.aggregate(chunks, F.array(zero), lambda done, chunk: F.concat(done, F.array(
+            F.aggregate(chunk, F.element_at(done, -1), width))))
+        return F.flatten(F.zip_with(chunks, F.slice(starts, F.lit(1), F.size(chunks)), lambda chunk, at:
+                                    F.aggregate(chunk, begun(at), step, lambda acc: acc["out"])))
+
+    count = F.size(pairs)
+    whole = F.aggregate(pairs, begun(F.lit(0).cast("bigint")), step, lambda acc: acc["out"])
+    return F.when(count == 0, none).when(count <= CHUNK, whole).otherwise(in_chunks(pairs))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and the spans (kind, start, end, score) by kind as in ``KINDS``, then start."""
     text = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = text.select("doc_id", *(spans_of(F.col("text"), k).alias(k.name) for k in KINDS))
+    # one step each, so that no pattern runs once per match
+    matched = text.select("doc_id", "text", *(matches_of(F.col("text"), k).alias(k.name) for k in KINDS))
+    paired = matched.select("doc_id", *(pairs_of(F.col("text"), F.col(k.name), k).alias(k.name)
+                                        for k in KINDS))
+    found = paired.select("doc_id", *(spans_of(F.col(k.name), k).alias(k.name) for k in KINDS))
     return found.select("doc_id", F.concat(*(k.name for k in KINDS)).alias("spans"))
 
 
