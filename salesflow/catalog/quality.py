@@ -165,3 +165,22 @@ def validated_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     except Q.ValidationError:
         pass  # refused: readers still see the first run
     return read_view(spark, path, schemas.BATCH_BY_TOWN)
+
+
+@query("republish_same_run", on_sales(_view_sql("town")))
+def republish_same_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run tried again under its id and refused: readers keep what was released."""
+    view, path = _view(spark, sf_dir, "town"), work_dir(spark, "view")
+
+    def check(written: DataFrame) -> None:
+        Q.require(Q.validate(written, Q.town_suite()))
+
+    publish_view(view, path, "run", schemas.BATCH_BY_TOWN, check)
+    before = read_view(spark, path, schemas.BATCH_BY_TOWN)
+    spoiled = view.withColumn("total_customer", F.lit(0).cast("long"))
+    try:
+        publish_view(spoiled, path, "run", schemas.BATCH_BY_TOWN, check)
+    except Q.ValidationError:
+        pass
+    # a reader that began earlier still has its files, and a new one sees the same rows
+    return read_view(spark, path, schemas.BATCH_BY_TOWN).intersectAll(before)

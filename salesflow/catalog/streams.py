@@ -15,7 +15,8 @@ from salesflow.session import work_dir
 from salesflow.sources.tables import write_batch
 from salesflow.streaming.bus import Topic, for_each_batch, publish, stream_sales, subscribe
 from salesflow.streaming.layers import (
-    SPEED_VIEWS, Tables, read_lake, read_speed, run_lake, run_speed_views, to_lake_rows)
+    SPEED_VIEWS, Tables, read_lake, read_speed, run_ingest, run_lake, run_quarantine,
+    run_speed_views, to_lake_rows)
 
 
 def _speed(spark: SparkSession, sf_dir: str, *views: str) -> Tables:
@@ -140,3 +141,47 @@ def offset_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
         pass  # expected; the next run takes up the same batch
     run(write)
     return digest(read_lake(spark, tables))
+
+
+@query("two_publishers_one_topic", on_sales(digest_sql()))
+def two_publishers_one_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts, _ = feed_parts(spark, sf_dir)
+    topic = Topic.folder(work_dir(spark, "shared-topic"))
+    for half in (0, 1):  # each with a checkpoint, and so with batch numbers, of its own
+        mine = stream_sales(spark, parts).filter(F.col("serial_number") % 2 == half)
+        publish(mine, topic, work_dir(spark, "offsets"), every=None).awaitTermination()
+    tables = Tables(work_dir(spark, "ingest"))
+    run_lake(spark, topic, tables, work_dir(spark, "offsets"), ntz(STAMP)).awaitTermination()
+    return digest(read_lake(spark, tables))
+
+
+@query("two_streams_one_lake", on_sales(digest_sql()))
+def two_streams_one_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts, _ = feed_parts(spark, sf_dir)
+    tables = Tables(work_dir(spark, "ingest"))
+    for half in (0, 1):
+        topic = Topic.folder(work_dir(spark, "topic"))
+        mine = stream_sales(spark, parts).filter(F.col("serial_number") % 2 == half)
+        publish(mine, topic, work_dir(spark, "offsets"), every=None).awaitTermination()
+        run_lake(spark, topic, tables, work_dir(spark, "offsets"), ntz(STAMP)).awaitTermination()
+    return digest(read_lake(spark, tables))
+
+
+@query("quarantine_messages", on_sales(
+    "SELECT 'stored' AS kind, count(*) AS n FROM sales WHERE serial_number % 10 <> 1 "
+    "UNION ALL SELECT 'quarantined', count(*) FROM sales WHERE serial_number % 10 = 1"))
+def quarantine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is either in the lake or in quarantine: here those cut off are."""
+    topic, _ = message_topic(spark, sf_dir)
+    whole = decode(spark.read.parquet(topic.options["path"]))
+    value = F.to_json(F.struct("*"))
+    cut = F.when(F.col("serial_number") % 10 == 1, F.left(value, F.lit(5))).otherwise(value)
+    path = work_dir(spark, "topic")
+    whole.select(cut.alias("value")).write.parquet(path)
+    tables, out = Tables(work_dir(spark, "ingest")), work_dir(spark, "quarantine")
+    broken = Topic.folder(path)
+    run_ingest(spark, broken, tables, work_dir(spark, "offsets"), ntz(STAMP)).awaitTermination()
+    run_quarantine(spark, broken, out, work_dir(spark, "offsets")).awaitTermination()
+    stored = read_lake(spark, tables).agg(F.lit("stored").alias("kind"), F.count("*").alias("n"))
+    refused = spark.read.parquet(out).filter("dropped")
+    return stored.union(refused.agg(F.lit("quarantined").alias("kind"), F.count("*").alias("n")))

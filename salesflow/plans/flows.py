@@ -20,7 +20,8 @@ from salesflow.sources.files import ingest_csv, part_count, split_by_date
 from salesflow.sources.tables import (
     created_before, publish_view, read_since, read_table, read_view, write_view)
 from salesflow.streaming.bus import Topic, publish, stream_sales
-from salesflow.streaming.layers import SPEED_VIEWS, Tables, read_lake, read_speed, run_ingest
+from salesflow.streaming.layers import (
+    SPEED_VIEWS, Tables, read_lake, read_speed, run_ingest, run_quarantine)
 
 
 def now() -> Column:
@@ -72,7 +73,9 @@ def batch_layer(lake: DataFrame, root: str, run_id: str, cutoff: Column,
         done[view] = publish_view(
             result, batch_view_path(root, view), run_id, schema,
             check=lambda written, s=suites[view]: quality.require(quality.validate(written, s)))
-    write_view(done["totals"], f"{root}/batch/totals_history", "append", schemas.BATCH_TOTALS)
+    # by run: a run that is tried again replaces its own row
+    write_view(done["totals"], f"{root}/batch/totals_history/run_id={run_id}", "overwrite",
+               schemas.BATCH_TOTALS)
     return done
 
 
@@ -83,7 +86,8 @@ def read_batch(spark: SparkSession, root: str, view: str) -> DataFrame:
 
 def read_totals_history(spark: SparkSession, root: str) -> DataFrame:
     """The totals of every run."""
-    return read_table(spark, f"{root}/batch/totals_history", schemas.BATCH_TOTALS)
+    history = read_table(spark, f"{root}/batch/totals_history", schemas.BATCH_TOTALS)
+    return history.select(*schemas.BATCH_TOTALS.names)
 
 
 # --- speed layer -----------------------------------------------------------------
@@ -91,11 +95,14 @@ def read_totals_history(spark: SparkSession, root: str) -> DataFrame:
 
 def speed_layer(spark: SparkSession, feed: str, root: str, topic: Topic | None = None,
                 every: str | None = None, files_per_trigger: int | None = None,
-                stamp_with: Column | None = None) -> Tables:
-    """Watched folder to topic, topic to lake and speed views.
-
-    With ``every=None`` everything present is processed, then both queries end;
-    otherwise both run until stopped (``spark.streams.active``).
+                stamp_with: Column | None = None,
+                messages_per_trigger: int | None = None) -> Tables:
+    """Watched folder to topic, topic to lake and speed views; what is unreadable to quarantine.
+
+    ``files_per_trigger`` paces the feed; ``messages_per_trigger`` bounds a micro-batch of
+    the topic in its own unit (offsets of a broker, files of a folder). With
+    ``every=None`` everything present is processed, then the queries end; otherwise
+    they run until stopped (``spark.streams.active``).
     """
     topic = topic or Topic.folder(f"{root}/topic")
     tables = Tables(root)
@@ -105,9 +112,12 @@ def speed_layer(spark: SparkSession, feed: str, root: str, topic: Topic | None =
     if every is None:
         feeding.awaitTermination()
     ingest = run_ingest(
-        spark, topic, tables, f"{root}/checkpoints/ingest", stamp_with, every, files_per_trigger)
+        spark, topic, tables, f"{root}/checkpoints/ingest", stamp_with, every, messages_per_trigger)
+    refused = run_quarantine(
+        spark, topic, f"{root}/quarantine", f"{root}/checkpoints/quarantine", every)
     if every is None:
         ingest.awaitTermination()
+        refused.awaitTermination()
     return tables
 
 

@@ -53,7 +53,8 @@ SPEED_BY_TOWN = _struct(town=_STRING, total_customer=_LONG, created_at=_NTZ)
 SPEED_TOTALS = _struct(
     total_sales_ratio=_DOUBLE, total_sale_amount=_DOUBLE, total_customer=_LONG, created_at=_NTZ)
 
-_PARTITIONS = [T.StructField("created_date", _DATE, True), T.StructField("batch_id", _LONG, True)]
+_PARTITIONS = [T.StructField("created_date", _DATE, True),
+               T.StructField("stream", T.StringType(), True), T.StructField("batch_id", _LONG, True)]
 
 
 def partitioned(schema: T.StructType) -> T.StructType:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,25 +51,26 @@ def create_empty(spark: SparkSession, path: str, schema: T.StructType) -> None:
 
 
 def write_batch(df: DataFrame, path: str, batch_id: int, schema: T.StructType,
-                first_by: tuple[str, ...] = ()) -> None:
+                first_by: tuple[str, ...] = (), stream: str = "default") -> None:
     """Append one micro-batch to a table clustered by the date of ``created_at``.
 
-    The rows land in ``created_date=../batch_id=..`` (below the folders of
-    ``first_by``). Writing the same batch again replaces exactly those folders,
-    so a retry neither loses nor repeats.
+    The rows land in ``created_date=../stream=../batch_id=..`` (below the folders of
+    ``first_by``). Writing the same batch of the same stream again replaces exactly
+    those folders, so a retry neither loses nor repeats. Batch numbers start anew with
+    every checkpoint: ``stream`` keeps the streams of a table apart.
     """
     (
         schemas.conform(df, schema)
         .withColumn("created_date", F.col("created_at").cast("date"))
-        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .withColumns({"stream": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")})
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*first_by, "created_date", "batch_id").parquet(path)
+        .partitionBy(*first_by, "created_date", "stream", "batch_id").parquet(path)
     )
 
 
 def read_appended(spark: SparkSession, path: str, schema: T.StructType,
                   since: date | None = None) -> DataFrame:
-    """A table written by :func:`write_batch`, with its two partition columns.
+    """A table written by :func:`write_batch`, with its partition columns.
 
     With ``since`` the folders of earlier dates are not even listed, which counts
     when years of micro-batches lie behind.
@@ -123,51 +125,60 @@ def read_since(df: DataFrame, last: Column, now: Column) -> DataFrame:
 
 _RELEASES = T.StructType([
     T.StructField("run_id", T.StringType()),
+    T.StructField("attempt", T.StringType()),
     T.StructField("released_at", T.TimestampType()),
 ])
 
 
-def run_path(view: str, run_id: str) -> str:
-    return f"{view}/runs/{run_id}"
+def run_path(view: str, run_id: str, attempt: str) -> str:
+    return f"{view}/runs/{run_id}/{attempt}"
 
 
-def release(spark: SparkSession, view: str, run_id: str) -> None:
+def release(spark: SparkSession, view: str, run_id: str, attempt: str) -> None:
     """Make a written run the one that readers see. A view has one writer at a time."""
     spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.current_timestamp().alias("released_at")
+        F.lit(run_id).alias("run_id"), F.lit(attempt).alias("attempt"),
+        F.current_timestamp().alias("released_at")
     ).write.mode("append").parquet(f"{view}/releases")
 
 
-def released_run(spark: SparkSession, view: str) -> str | None:
-    """Id of the run released last; None before the first."""
+def _last_release(spark: SparkSession, view: str) -> Row | None:
     try:
         releases = spark.read.schema(_RELEASES).parquet(f"{view}/releases")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return releases.agg(F.max_by("run_id", "released_at").alias("run_id")).first().run_id
+    return releases.agg(F.max_by(F.struct("run_id", "attempt"), "released_at").alias("r")).first().r
+
+
+def released_run(spark: SparkSession, view: str) -> str | None:
+    """Id of the run released last; None before the first."""
+    last = _last_release(spark, view)
+    return last.run_id if last else None
 
 
 def read_view(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
     """The released run of a view; no rows before the first."""
-    run_id = released_run(spark, view)
-    if run_id is None:
+    last = _last_release(spark, view)
+    if last is None:
         return empty(spark, schema)
-    return spark.read.schema(schema).parquet(run_path(view, run_id))
+    return spark.read.schema(schema).parquet(run_path(view, last.run_id, last.attempt))
 
 
 def publish_view(df: DataFrame, view: str, run_id: str, schema: T.StructType,
                  check: Callable[[DataFrame], object] | None = None) -> DataFrame:
     """Write a run, check what was written, then release it.
 
-    ``check`` raises to refuse the run; the previous one then stays visible.
+    ``check`` raises to refuse the run; the previous one then stays visible. Every
+    attempt has a folder of its own: a run that is tried again under the same id
+    never touches what was released, nor the files of running readers.
     """
-    spark = df.sparkSession
-    path = run_path(view, run_id)
-    schemas.conform(df, schema).write.mode("overwrite").parquet(path)
+    spark, attempt = df.sparkSession, uuid.uuid4().hex
+    path = run_path(view, run_id, attempt)
+    schemas.conform(df, schema).write.parquet(path)
     written = spark.read.schema(schema).parquet(path)
     if check:
         check(written)
-    release(spark, view, run_id)
+    release(spark, view, run_id, attempt)
     return written

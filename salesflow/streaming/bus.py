@@ -6,6 +6,7 @@ folder of message files is a drop-in topic without a broker.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -60,11 +61,35 @@ def release_parts(spark: SparkSession, parts: str, watched: str, numbers: Iterab
     spark.read.schema(schema).parquet(*files).write.mode("append").parquet(watched)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a started stream's checkpoint; another checkpoint, another id."""
+    line = spark.read.text(f"{checkpoint}/metadata").first().value
+    return json.loads(line)["id"]
+
+
 def publish(stream: DataFrame, topic: Topic, checkpoint: str,
             every: str | None = "5 seconds") -> StreamingQuery:
-    """Append every row of a stream to a topic as one JSON message."""
+    """Append every row of a stream to a topic as one JSON message.
+
+    In a folder topic each publisher has a folder of its own, with one folder per
+    micro-batch: several publishers, and files put there by others, do not touch each
+    other. A batch that was stored whole is not stored again when it is repeated.
+    """
+    messages = encode(stream)
+    if topic.format != "kafka":
+        folder = stream.sparkSession._jvm.org.apache.hadoop.fs.Path(topic.options["path"])
+        folder.getFileSystem(stream.sparkSession._jsc.hadoopConfiguration()).mkdirs(folder)
+
+        def store(rows: DataFrame, batch_id: int) -> None:
+            spark = rows.sparkSession
+            path = f"{topic.options['path']}/stream={stream_id(spark, checkpoint)}/batch_id={batch_id}"
+            done = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+            if not done.getFileSystem(spark._jsc.hadoopConfiguration()).exists(done):
+                rows.write.mode("overwrite").format(topic.format).save(path)
+
+        return for_each_batch(messages, store, checkpoint, every)
     writer = (
-        encode(stream).writeStream.format(topic.format).options(**topic.options)
+        messages.writeStream.format(topic.format).options(**topic.options)
         .outputMode("append").option("checkpointLocation", checkpoint)
     )
     return _every(writer, every).start()
@@ -90,7 +115,9 @@ def subscribe(spark: SparkSession, topic: Topic, start: str = "earliest",
     else:
         if per_trigger:
             reader = reader.option("maxFilesPerTrigger", per_trigger)
-        messages = reader.schema(MESSAGE).load(topic.options["path"])
+        # publishers' folders are no columns of the messages
+        reader = reader.schema(MESSAGE).option("recursiveFileLookup", "true")
+        messages = reader.load(topic.options["path"])
     return as_text(messages).select("value")
 
 

@@ -23,7 +23,7 @@ from salesflow.functions.cleaning import parse_date
 from salesflow.functions.wire import decode, quarantine
 from salesflow.operators.aggregates import VIEW_KEYS, sale_cells
 from salesflow.sources.tables import empty, read_appended, write_batch
-from salesflow.streaming.bus import Topic, for_each_batch, subscribe
+from salesflow.streaming.bus import Topic, for_each_batch, stream_id, subscribe
 
 
 def arrival() -> Column:
@@ -114,15 +114,16 @@ def partial_views(rows: DataFrame, views: tuple[str, ...] = tuple(SPEED_VIEWS))
 
 
 def write_speed(rows: DataFrame, batch_id: int, tables: Tables,
-                views: tuple[str, ...] = tuple(SPEED_VIEWS)) -> None:
+                views: tuple[str, ...] = tuple(SPEED_VIEWS), stream: str = "default") -> None:
     """Store the partial views of one micro-batch; one job, so all of them or none."""
     with _adaptive(rows.sparkSession):
-        write_batch(partial_views(rows, views), tables.speed, batch_id, _PARTIALS, ("view",))
+        write_batch(partial_views(rows, views), tables.speed, batch_id, _PARTIALS, ("view",),
+                    stream)
 
 
 def read_speed(spark: SparkSession, tables: Tables, view: str,
                since: date | None = None) -> DataFrame:
-    """A speed view with its own columns, plus ``created_date`` and ``batch_id``."""
+    """A speed view with its own columns, plus ``created_date``, ``stream`` and ``batch_id``."""
     stored = T.StructType(_PARTIALS.fields[1:])
     partials = read_appended(spark, f"{tables.speed}/view={view}", stored, since)
     schema = schemas.partitioned(SPEED_VIEWS[view])
@@ -133,13 +134,13 @@ def read_lake(spark: SparkSession, tables: Tables, since: date | None = None) ->
     return read_appended(spark, tables.lake, schemas.LAKE, since)
 
 
-def _lake_batch(spark: SparkSession, tables: Tables, batch_id: int) -> DataFrame:
+def _lake_batch(spark: SparkSession, tables: Tables, batch_id: int, stream: str) -> DataFrame:
     """The lake rows of one micro-batch; lists only that batch's folders."""
     schema = schemas.partitioned(schemas.LAKE)
     try:
         return (
             spark.read.schema(schema).option("basePath", tables.lake)
-            .parquet(f"{tables.lake}/created_date=*/batch_id={batch_id}")
+            .parquet(f"{tables.lake}/created_date=*/stream={stream}/batch_id={batch_id}")
         )
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
@@ -152,8 +153,12 @@ def run_lake(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: str,
              per_trigger: int | None = None) -> StreamingQuery:
     """Topic to lake."""
     rows = to_lake_rows(subscribe(spark, topic, per_trigger=per_trigger), stamp)
-    return for_each_batch(
-        rows, lambda df, i: write_batch(df, tables.lake, i, schemas.LAKE), checkpoint, every)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_batch(df, tables.lake, batch_id, schemas.LAKE,
+                    stream=stream_id(df.sparkSession, checkpoint))
+
+    return for_each_batch(rows, write, checkpoint, every)
 
 
 def run_speed_views(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: str,
@@ -166,8 +171,11 @@ def run_speed_views(spark: SparkSession, topic: Topic, tables: Tables, checkpoin
     count as readable here and in the lake.
     """
     rows = to_lake_rows(subscribe(spark, topic, per_trigger=per_trigger), stamp)
-    return for_each_batch(
-        rows, lambda df, i: write_speed(df, i, tables, views), checkpoint, every)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_speed(df, batch_id, tables, views, stream_id(df.sparkSession, checkpoint))
+
+    return for_each_batch(rows, write, checkpoint, every)
 
 
 def run_ingest(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: str,
@@ -181,8 +189,9 @@ def run_ingest(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: st
     rows = to_lake_rows(subscribe(spark, topic, per_trigger=per_trigger), stamp)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        write_batch(df, tables.lake, batch_id, schemas.LAKE)
-        write_speed(_lake_batch(spark, tables, batch_id), batch_id, tables)
+        stream = stream_id(spark, checkpoint)
+        write_batch(df, tables.lake, batch_id, schemas.LAKE, stream=stream)
+        write_speed(_lake_batch(spark, tables, batch_id, stream), batch_id, tables, stream=stream)
 
     return for_each_batch(rows, write, checkpoint, every)
 
