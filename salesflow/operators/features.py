@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow import schemas
 from salesflow.functions.cleaning import open_range
 from salesflow.operators.aggregates import column_modes, mean_by_key
 from salesflow.session import stage
@@ -30,14 +31,8 @@ FEATURES = [
     "TOWN_ENCODED",
 ]
 # Columns of a sale that are not features.
-DROPPED = [
-    "town", "serial_number", "date_recorded", "address", "sales_ratio", "property_type",
-    "residential_type", "non_use_code", "assessor_remarks", "opm_remarks", "location",
-    "created_at",
-]
-
-# A lookup table of at most this many rows is broadcast; it is counted first.
-BROADCAST_ROWS = 100_000
+KEPT = ("list_year", "assessed_value", "sale_amount")
+DROPPED = [name for name in schemas.LAKE.names if name not in KEPT]
 
 
 def number(column: str) -> Column:
@@ -94,11 +89,10 @@ def moments(df: DataFrame, *columns: str) -> dict[str, Moments]:
 def lookup(df: DataFrame, stats: DataFrame, key: str) -> DataFrame:
     """Add the columns of ``stats`` (one row per key); unmatched and null keys get null.
 
-    ``stats`` is counted, up to a bound, before it is broadcast; beyond the bound
-    the join shuffles and adaptive execution splits hot keys.
+    Whether ``stats`` is broadcast is Spark's choice, by its size in bytes; otherwise the
+    join shuffles and adaptive execution splits hot keys.
     """
-    small = stats.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(stats) if small else stats, key, "left")
+    return df.join(stats, key, "left")
 
 
 @dataclass(frozen=True)

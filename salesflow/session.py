@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -31,6 +34,14 @@ def build_session(app: str = "salesflow", master: str | None = None,
     return builder.getOrCreate()
 
 
+@functools.cache
+def _own_folder() -> str:
+    """One folder for a local run, removed at its end."""
+    path = tempfile.mkdtemp(prefix="salesflow-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return path
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the shared ``spark.checkpoint.dir``.
 
@@ -42,7 +53,7 @@ def work_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="salesflow-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

@@ -13,9 +13,10 @@ TEST_DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests", master="local[8]", shuffle_partitions=4, spark__ui__enabled="false",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
         spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("OFF")
     yield session

@@ -88,12 +88,13 @@ def test_no_spread_only_centres(spark):
     assert [r.z for r in df.select(scale.scale(F.col("x")).alias("z")).collect()] == [0.0, 0.0]
 
 
-def test_large_lookup_is_not_broadcast(spark, monkeypatch):
-    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n long")
-    stats = spark.createDataFrame([("a", 1.5), ("c", 2.5)], "k string, v double")
+def test_lookup_broadcasts_by_size_in_bytes(spark, folder):
+    path = folder("stats")
+    spark.createDataFrame([("a", 1.5), ("c", 2.5)], "k string, v double").write.parquet(path)
+    df, stats = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, n long"), spark.read.parquet(path)
     small = X.lookup(df, stats, "k")
-    monkeypatch.setattr(X, "BROADCAST_ROWS", 1)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    assert "Broadcast" in small._jdf.queryExecution().toString()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = X.lookup(df, stats, "k")
@@ -101,7 +102,6 @@ def test_large_lookup_is_not_broadcast(spark, monkeypatch):
         rows = {tuple(r) for r in large.collect()}
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    assert "Broadcast" in small._jdf.queryExecution().toString()
     assert rows == {tuple(r) for r in small.collect()} == {("a", 1, 1.5), ("b", 2, None),
                                                            (None, 3, None)}
 
