@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,25 @@ def prepare(spark: SparkSession, csv_path: str, out: str, parts: int | None = No
     return f"{out}/parts"
 
 
+def closed_cutoff(spark: SparkSession, tables: Tables) -> Column | None:
+    """A cutoff that splits the rows exactly while streams run; None before the first batch.
+
+    A stream's micro-batches follow one another, and each is stored in the lake before its
+    partials: all that carries a stamp up to its newest partials is complete in both.
+    The cutoff is just above the oldest of the streams' newest stamps. Rows of open
+    micro-batches have later stamps, so they stay with the speed views. A further stream
+    counts from its first stored partials on: let it finish a batch before the next run.
+    """
+    try:
+        newest = read_speed(spark, tables, "totals").groupBy("stream").agg(F.max("created_at").alias("at"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    last = newest.agg(F.min("at").alias("at")).first().at
+    return ntz((last + timedelta(microseconds=1)).strftime("%Y-%m-%d %H:%M:%S.%f")) if last else None
+
+
 # --- batch layer -----------------------------------------------------------------
 
 BATCH_VIEWS: dict[str, T.StructType] = {
@@ -221,6 +241,6 @@ def score(path: str, sales: DataFrame, stats: features.FeatureStats) -> DataFram
 
 
 __all__ = [
-    "prepare", "batch_layer", "read_batch", "read_totals_history", "speed_layer", "Views",
+    "prepare", "closed_cutoff", "batch_layer", "read_batch", "read_totals_history", "speed_layer", "Views",
     "panels", "model_frames", "retrain", "score", "read_lake", "BATCH_VIEWS",
 ]

@@ -401,3 +401,32 @@ def test_reads_from_a_date_on_list_only_those_folders(spark, folder):
     assert not [f for f in late.inputFiles() if "2020-01-01" in f or "2020-01-02" in f]
     assert late.schema == read_speed(spark, tables, "town").schema
     assert read_speed(spark, tables, "town", datetime.date(2021, 1, 1)).count() == 0
+
+
+@pytest.mark.parametrize("at", range(2, 9))
+def test_batch_run_between_any_two_writes(spark, folder, at):
+    """Two streams, two micro-batches each, stored step by step; the batch layer runs after step ``at``."""
+    tables, second = Tables(folder("t")), "2020-01-01 00:00:0%d"
+    rows = spark.range(40).select(
+        F.col("id").alias("serial_number"), F.lit("T").alias("town"), F.lit("Condo").alias("property_type"),
+        F.lit(1.0).alias("sale_amount"), F.lit(0.5).alias("sales_ratio"))
+    rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.LAKE
+                              if f.name not in (*rows.columns, "created_at")])
+    steps = []
+    for number in (0, 1):
+        for k, stream in enumerate(("a", "b")):
+            part = rows.filter(F.col("serial_number") % 4 == 2 * number + k).withColumn(
+                "created_at", ntz(second % (2 * number + k)))
+            steps.append(lambda p=part, n=number, s=stream: write_batch(p, tables.lake, n, schemas.LAKE, stream=s))
+            steps.append(lambda p=part, n=number, s=stream: write_speed(p, n, tables, stream=s))
+    assert flows.closed_cutoff(spark, tables) is None  # no batch yet: nothing to run on
+    for step in steps[:at]:
+        step()
+    cutoff = flows.closed_cutoff(spark, tables)
+    suites = {k: Q.Suite("shape", (Q.columns_ordered(*v.names),)) for k, v in flows.BATCH_VIEWS.items()}
+    flows.batch_layer(read_lake(spark, tables), tables.root, "r", cutoff, suites=suites)
+    for step in steps[at:]:
+        step()
+    views = flows.Views.open(spark, tables.root)
+    served = S.serve_by_key(views.batch["town"], views.speed["town"], "town", ntz("2021-01-01 00:00:00"))
+    assert [tuple(r) for r in served.collect()] == [("T", 40)]
