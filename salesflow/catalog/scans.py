@@ -157,6 +157,19 @@ def table_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schemas.SPEED_BY_TOWN)
 
 
+@query("connector_write", on_sales(
+    "SELECT town, count(*) AS total_customer, TIMESTAMP '" + NOW + "' AS created_at FROM ("
+    "SELECT coalesce(town, 'Unknown') AS town FROM sales) GROUP BY town"))
+def connector_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view written as ORC, copied through JSON, and read back."""
+    orc, text = work_dir(spark, "orc"), work_dir(spark, "json")
+    counted = stamp(count_by(sales(spark, sf_dir, "town"), "town"), created_at=ntz(NOW))
+    write_view(counted, orc, "overwrite", schemas.SPEED_BY_TOWN, format="orc")
+    stored = read_table(spark, orc, schemas.SPEED_BY_TOWN, format="orc")
+    write_view(stored, text, "overwrite", schemas.SPEED_BY_TOWN, format="json")
+    return read_table(spark, text, schemas.SPEED_BY_TOWN, format="json")
+
+
 @query("foreach_batch_sink", on_sales(
     "SELECT list_year, count(*) AS n, CAST(sum(serial_number) AS BIGINT) AS serials "
     "FROM sales GROUP BY list_year"))

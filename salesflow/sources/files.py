@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,11 +49,17 @@ def with_position(df: DataFrame, name: str = "_tie") -> DataFrame:
         return stage(df, "positions").withColumn(name, scan_position())
 
 
-def range_split(df: DataFrame, n: int | None, *by: str) -> DataFrame:
-    """``n`` parts (default: the shuffle partitions) with consecutive ranges of ``by``."""
+def range_split(df: DataFrame, n: int | None, *by: str, number: str | None = None) -> DataFrame:
+    """``n`` parts (default: the shuffle partitions) with consecutive ranges of ``by``.
+
+    ``number`` names a column for the number of the part.
+    """
     keyed = with_position(df)
     keys = (*by, "_tie")
     ranged = keyed.repartitionByRange(n, *keys) if n else keyed.repartitionByRange(*keys)
+    if number:
+        ranged = ranged.withColumn(number, F.spark_partition_id())
+        keys = (number, *keys)
     return ranged.sortWithinPartitions(*keys).drop("_tie")
 
 
@@ -74,35 +80,26 @@ def slice_rows(df: DataFrame, order: list[str], low: int, high: int,
                parts: int | None = None) -> DataFrame:
     """Rows ``low`` (included) to ``high`` (excluded) in the given total order.
 
-    The rows are range-partitioned, sorted and written once; the row counts per
-    file (one small row per file) turn a position into a file and an offset, so
-    only the files that overlap the slice are read again. No step puts all rows
-    in one task.
+    The rows are range-partitioned, sorted and written once, a folder per part. A running
+    sum over the row counts (one row per file) gives each file its first position; joining
+    it on the part prunes the folders outside the slice. Nothing comes to the driver, and
+    no step puts all rows in one task.
     """
     spark = df.sparkSession
     path = work_dir(spark, "slice")
-    range_split(df, parts, *order).write.parquet(path)
-
-    written = spark.read.schema(df.schema).parquet(path)
-    counts = (
-        written.groupBy(F.col("_metadata.file_path").alias("file"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(part_number(F.col("file")))
-        .collect()
-    )
-    pieces, start = [], 0
-    for row in counts:
-        if start < high and start + row.n > low:
-            pieces.append((row.file, start))
-        start += row.n
-    if not pieces:
-        return df.limit(0).withColumn("position", F.lit(0).cast("long"))
-    offset = F.create_map(*[F.lit(v) for pair in pieces for v in pair])
-    files = [file for file, _ in pieces]
-    position = offset[F.col("_metadata.file_path")] + F.col("_metadata.row_index")
+    range_split(df, parts, *order, number="_part").write.partitionBy("_part").parquet(path)
+
+    written = spark.read.schema(T.StructType([*df.schema, T.StructField("_part", T.IntegerType())])).parquet(path)
+    written = written.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    earlier = Window.orderBy("_part", part_number(F.col("_file"))).rowsBetween(Window.unboundedPreceding, -1)
+    files = stage(
+        written.groupBy("_part", "_file").agg(F.count(F.lit(1)).alias("_rows"))
+        .withColumn("_start", F.coalesce(F.sum("_rows").over(earlier), F.lit(0))), "slice-files")
+    asked = files.filter((F.col("_start") < high) & (F.col("_start") + F.col("_rows") > low))
+    position = F.col("_start") + F.col("_row")
     return (
-        spark.read.schema(df.schema).parquet(*files)
-        .withColumn("position", position)
+        written.join(asked, ["_part", "_file"])
+        .select(*df.columns, position.alias("position"))
         .filter((F.col("position") >= low) & (F.col("position") < high))
     )
 

@@ -22,6 +22,9 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType | None = Non
     ``/``; with ``format=`` any other connector on the classpath is used.
     """
     source = options.pop("format", None)
+    if source and "/" in name:
+        reader = spark.read.format(source).options(**options)
+        return (reader.schema(schema) if schema else reader).load(name)
     if source:
         return spark.read.format(source).options(**options).option("dbtable", name).load()
     if "/" not in name:
@@ -31,11 +34,20 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType | None = Non
 
 
 def write_view(df: DataFrame, name: str, mode: str, schema: T.StructType | None = None,
-               partition_by: tuple[str, ...] = ()) -> None:
-    """Replace (``overwrite``) or extend (``append``) a table, checked against its schema."""
+               partition_by: tuple[str, ...] = (), **options: str) -> None:
+    """Replace (``overwrite``) or extend (``append``) a table, checked against its schema.
+
+    ``name`` as in :func:`read_table`; with ``format=`` any connector on the classpath takes
+    the rows, and a ``name`` with a ``/`` is its folder.
+    """
     out = schemas.conform(df, schema) if schema else df
-    writer = out.write.mode(mode).partitionBy(*partition_by)
-    if "/" in name:
+    source = options.pop("format", None)
+    writer = out.write.mode(mode).options(**options).partitionBy(*partition_by)
+    if source and "/" in name:
+        writer.format(source).save(name)
+    elif source:
+        writer.format(source).option("dbtable", name).save()
+    elif "/" in name:
         writer.parquet(name)
     else:
         writer.saveAsTable(name)
@@ -94,11 +106,12 @@ def date_folders(spark: SparkSession, path: str) -> list[str]:
 def cluster_by_date(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write a table laid out by the date of ``created_at``, so windows prune folders.
 
-    Rows of one date stay in as many files as there are tasks that hold them;
-    nothing is gathered per date.
+    Rows are shuffled by date, so a date has few files; adaptive execution joins small
+    dates in one task and splits a hot one among several.
     """
     (
         df.withColumn("created_date", F.col("created_at").cast("date"))
+        .hint("rebalance", F.col("created_date"))
         .write.mode(mode).partitionBy("created_date").parquet(path)
     )
 

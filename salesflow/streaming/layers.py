@@ -189,9 +189,10 @@ def run_ingest(spark: SparkSession, topic: Topic, tables: Tables, checkpoint: st
     rows = to_lake_rows(subscribe(spark, topic, per_trigger=per_trigger), stamp)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        stream = stream_id(spark, checkpoint)
+        own = df.sparkSession  # of the micro-batch: the caller's settings stay as they are
+        stream = stream_id(own, checkpoint)
         write_batch(df, tables.lake, batch_id, schemas.LAKE, stream=stream)
-        write_speed(_lake_batch(spark, tables, batch_id, stream), batch_id, tables, stream=stream)
+        write_speed(_lake_batch(own, tables, batch_id, stream), batch_id, tables, stream=stream)
 
     return for_each_batch(rows, write, checkpoint, every)
 

@@ -15,7 +15,7 @@ from salesflow.operators import serving as S
 from salesflow.plans import flows
 from salesflow.sources.files import part_number, range_split, read_sales, slice_rows, split_by_date
 from salesflow.sources.tables import (
-    cluster_by_date, publish_view, read_since, read_view, released_run, write_batch)
+    cluster_by_date, publish_view, read_since, read_table, read_view, released_run, write_batch, write_view)
 from salesflow.sources.testdata import sales
 from salesflow.streaming.bus import Topic, for_each_batch, publish, stream_sales, subscribe
 from salesflow.streaming.layers import (
@@ -385,7 +385,32 @@ def test_clustered_table_prunes_folders(spark, folder):
     table = spark.read.parquet(path)
     window = S.since(table, ntz("2020-01-03 00:00:00"), ntz("2020-01-05 00:00:00"))
     assert sorted(r.id for r in window.collect()) == [2, 3, 4]
-    assert len(window.inputFiles()) >= 3
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_date" in plan
+
+
+def test_clustered_table_has_few_files(spark, folder):
+    path = folder("c")
+    rows = spark.range(0, 4000, 1, 16).select("id", (
+        ntz("2020-01-01 00:00:00") + F.make_dt_interval((F.col("id") % 50).cast("int"))).alias("created_at"))
+    cluster_by_date(rows, path)
+    table = spark.read.parquet(path)
+    assert table.count() == 4000 and len(table.inputFiles()) == 50
+
+
+@pytest.mark.parametrize("source", ["orc", "json"])
+def test_views_through_a_connector(spark, folder, source):
+    path, schema = folder("view"), "town string, n long"
+    rows = spark.createDataFrame([("T", 1), (None, 2)], schema)
+    write_view(rows, path, "append", rows.schema, format=source)
+    write_view(rows, path, "append", rows.schema, format=source)
+    assert counts_all(read_table(spark, path, rows.schema, format=source)) == [("T", 1)] * 2 + [(None, 2)] * 2
+    write_view(rows, path, "overwrite", rows.schema, format=source)
+    assert counts_all(read_table(spark, path, rows.schema, format=source)) == [("T", 1), (None, 2)]
+
+
+def counts_all(df):
+    return sorted(map(tuple, df.collect()), key=str)
 
 
 def test_reads_from_a_date_on_list_only_those_folders(spark, folder):
