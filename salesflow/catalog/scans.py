@@ -14,7 +14,7 @@ from salesflow.functions.wire import decode
 from salesflow.operators.aggregates import count_by
 from salesflow.operators.serving import window_sum_by_key
 from salesflow.session import work_dir
-from salesflow.sources.files import ingest_csv, part_number, read_sales, split_by_date
+from salesflow.sources.files import ingest_csv, part_number, read_sales, refused_lines, split_by_date
 from salesflow.sources.tables import (
     cluster_by_date, created_before, read_since, read_table, write_batch, write_view)
 from salesflow.sources.testdata import sales, sales_files
@@ -42,6 +42,24 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(cast_sales(snake_case(raw), schemas.SALE))
 
 
+@query("quarantine_csv", on_sales(
+    "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN serial_number % 10 = 1 THEN 'dropped' "
+    "WHEN serial_number % 10 = 2 THEN 'damaged' ELSE 'whole' END AS kind FROM sales) GROUP BY kind"))
+def quarantine_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line is a row or on record: here some are cut off, and some have no number as year."""
+    lines, stored = work_dir(spark, "lines"), work_dir(spark, "raw")
+    last = F.element_at(F.split(F.split("value", ",")[0], ""), -1)
+    cut = F.concat_ws(",", F.slice(F.split("value", ","), 1, 3))
+    year = F.regexp_replace("value", "^([0-9]+),[0-9]+,", "$1,unknown,")
+    raw = spark.read.text(raw_csv(spark, sf_dir))
+    raw.select(F.when(last == "1", cut).when(last == "2", year).otherwise(F.col("value"))).write.text(lines)
+    rows = ingest_csv(spark, lines, stored)
+    bad = refused_lines(spark, stored)
+    kinds = bad.select(F.when(F.col("dropped"), "dropped").otherwise("damaged").alias("kind"))
+    whole = rows.filter("`List Year` IS NOT NULL").select(F.lit("whole").alias("kind"))
+    return kinds.unionByName(whole).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("parquet_scan", on_sales(
     f"SELECT serial_number, list_year, {DATE_TEXT}, town, sale_amount FROM sales"))
 def parquet_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

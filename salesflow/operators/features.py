@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow import schemas
@@ -163,6 +163,28 @@ def fit_features(df: DataFrame) -> FeatureStats:
         scale("sale_amount").mean, _pooled(towns, "rows", "town_mean"))
 
 
+_STATE = "value struct<mean: double, std: double>, year struct<mean: double, std: double>, " \
+    "town struct<mean: double, std: double>, town_mean double, modes map<string, string>"
+
+
+def save_features(spark: SparkSession, stats: FeatureStats, path: str) -> None:
+    """Store what the features have learnt: one row of numbers and the town table."""
+    def pair(m: Moments) -> tuple:
+        return (m.mean, m.std)
+
+    stats.towns.write.mode("overwrite").parquet(f"{path}/towns")
+    row = (pair(stats.value), pair(stats.year), pair(stats.town), stats.town_mean, stats.modes)
+    spark.createDataFrame([row], _STATE).write.mode("overwrite").parquet(f"{path}/state")
+
+
+def load_features(spark: SparkSession, path: str) -> FeatureStats:
+    """What :func:`save_features` has stored."""
+    row = spark.read.schema(_STATE).parquet(f"{path}/state").first()
+    towns = spark.read.schema("town string, town_mean double").parquet(f"{path}/towns")
+    return FeatureStats(row.modes, Moments(*row.value), Moments(*row.year), towns, row.town_mean,
+                        Moments(*row.town))
+
+
 def target_encode(df: DataFrame, stats: FeatureStats) -> DataFrame:
     """``TOWN_ENCODED``: scaled mean amount of the town.
 

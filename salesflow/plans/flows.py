@@ -204,13 +204,18 @@ def model_frames(sales: DataFrame, seed: int = 0,
 
     ``fit_on="all"`` learns the feature statistics from both parts.
     """
+    return _learnt_frames(sales, seed, fit_on)[:2]
+
+
+def _learnt_frames(sales: DataFrame, seed: int = 0, fit_on: str = "train",
+                   ) -> tuple[DataFrame, DataFrame, features.FeatureStats]:
     usable = below(sales, "sale_amount", features.AMOUNT_LIMIT)
     train, test = features.train_test_split(usable, "serial_number", seed=seed)
     stats = features.fit_features(usable if fit_on == "all" else train)
     both = stage(
         features.feature_frame(usable, stats, "serial_number")
         .withColumn("in_test", features.in_test("serial_number", seed=seed)), "features")
-    return both.filter(~F.col("in_test")), both.filter(F.col("in_test"))
+    return both.filter(~F.col("in_test")), both.filter(F.col("in_test")), stats
 
 
 def retrain(lake: DataFrame, last: Column, until: Column,
@@ -218,12 +223,13 @@ def retrain(lake: DataFrame, last: Column, until: Column,
     """Fit the final model on the sales of a window and score it on the held-out part.
 
     Returns (model, train_rows, test_rows, explained_variance, mape); saves the
-    model to ``path``.
+    model to ``path``, with all that its features have learnt (see :func:`score`).
     """
-    train, test = model_frames(read_since(lake, last, until))
+    train, test, stats = _learnt_frames(read_since(lake, last, until))
     model = regression.fit(train, features.FEATURES, features.LABEL, regression.lasso(alpha))
     if path:
         regression.save(model, path)
+        features.save_features(lake.sparkSession, stats, f"{path}/features")
     scored = regression.predict(model, test, features.FEATURES)
     y, p = F.col(features.LABEL), F.col(regression.PREDICTION)
     return scored.agg(
@@ -234,8 +240,12 @@ def retrain(lake: DataFrame, last: Column, until: Column,
         regression.mape(y, p).alias("mape"))
 
 
-def score(path: str, sales: DataFrame, stats: features.FeatureStats) -> DataFrame:
-    """Apply a saved model to sales."""
+def score(path: str, sales: DataFrame, stats: features.FeatureStats | None = None) -> DataFrame:
+    """Apply a model that :func:`retrain` has saved to sales.
+
+    The features come from what was saved with it; ``stats`` replaces that.
+    """
+    stats = stats or features.load_features(sales.sparkSession, f"{path}/features")
     frame = features.feature_frame(sales, stats, "serial_number")
     return regression.predict(regression.load(path), frame, features.FEATURES)
 

@@ -34,6 +34,12 @@ RAW = T.StructType([
     for header, field in zip(RAW_HEADER, SALE.fields)
 ])
 
+
+def texts(schema: T.StructType) -> T.StructType:
+    """The same columns as text."""
+    return T.StructType([T.StructField(n, _STRING, True) for n in schema.names])
+
+
 # A message on the bus: the sale with its date as ISO text.
 WIRE = T.StructType([
     T.StructField(f.name, _STRING if f.dataType == _DATE else f.dataType, True) for f in SALE.fields

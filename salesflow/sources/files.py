@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,19 +11,62 @@ from salesflow import schemas
 from salesflow.session import stage, work_dir
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW,
+             multi_line: bool = False) -> DataFrame:
     """A headed CSV with a declared schema. Empty fields are null, ``""`` is a quote.
 
-    One line is one row, so that a large file is split among tasks.
+    One line is one row, so that a large file is split among tasks; ``multi_line`` allows
+    line breaks within quotes, at the price of one task per file.
     """
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    return _csv(spark, multi_line).schema(schema).csv(path)
+
+
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, parquet_path: str,
-               schema: T.StructType = schemas.RAW) -> DataFrame:
-    """Convert a headed CSV to parquet and return the parquet frame."""
-    read_csv(spark, csv_path, schema).write.mode("overwrite").parquet(parquet_path)
-    return spark.read.schema(schema).parquet(parquet_path)
+               schema: T.StructType = schemas.RAW, multi_line: bool = False) -> DataFrame:
+    """Convert a headed CSV to parquet, in one pass, and return the rows that were read.
+
+    A line with too few or too many fields (as a line break within quotes makes it) is no
+    row; a field of the wrong type is null in that field only. Both stay on record, see
+    :func:`refused_lines`.
+    """
+    fields = schemas.texts(schema)
+    lines = _csv(spark, multi_line).schema(fields.add(_BROKEN, T.StringType())).option(
+        "columnNameOfCorruptRecord", _BROKEN).csv(csv_path)
+    cells = {n: F.col(f"`{n}`").try_cast(schema[n].dataType) for n in schema.names}
+    wrong = F.lit(False)
+    for name, cell in cells.items():
+        wrong = wrong | (F.col(f"`{name}`").isNotNull() & cell.isNull())
+    line = F.when(F.col(_BROKEN).isNotNull(), F.col(_BROKEN)).when(
+        wrong, F.to_json(F.struct(*[F.col(f"`{n}`") for n in schema.names])))
+    lines.select(
+        *[cell.alias(name) for name, cell in cells.items()], line.alias(_LINE),
+        F.col(_BROKEN).isNotNull().alias(_DROPPED),
+    ).write.mode("overwrite").partitionBy(_DROPPED).parquet(parquet_path)
+    return _ingested(spark, parquet_path, schema).filter(~F.col(_DROPPED)).select(
+        *[f"`{n}`" for n in schema.names])
+
+
+_BROKEN, _LINE, _DROPPED = "_broken", "_line", "_dropped"
+
+
+def _ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    kept = [*schema, T.StructField(_LINE, T.StringType()), T.StructField(_DROPPED, T.BooleanType())]
+    return spark.read.schema(T.StructType(kept)).parquet(path)
+
+
+def refused_lines(spark: SparkSession, parquet_path: str,
+                  schema: T.StructType = schemas.RAW) -> DataFrame:
+    """(line, dropped) of what :func:`ingest_csv` could not read in full.
+
+    ``line`` is the text of a line that is no row, or the fields of a row (JSON) of which
+    some are stored as null.
+    """
+    return _ingested(spark, parquet_path, schema).filter(F.col(_LINE).isNotNull()).select(
+        F.col(_LINE).alias("line"), F.col(_DROPPED).alias("dropped"))
 
 
 def read_sales(spark: SparkSession, path: str, schema: T.StructType = schemas.SALE) -> DataFrame:

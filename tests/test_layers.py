@@ -13,7 +13,8 @@ from salesflow.operators import aggregates as A
 from salesflow.operators import quality as Q
 from salesflow.operators import serving as S
 from salesflow.plans import flows
-from salesflow.sources.files import part_number, range_split, read_sales, slice_rows, split_by_date
+from salesflow.sources.files import (
+    ingest_csv, part_number, range_split, read_sales, refused_lines, slice_rows, split_by_date)
 from salesflow.sources.tables import (
     cluster_by_date, publish_view, read_since, read_table, read_view, released_run, write_batch, write_view)
 from salesflow.sources.testdata import sales
@@ -455,3 +456,23 @@ def test_batch_run_between_any_two_writes(spark, folder, at):
     views = flows.Views.open(spark, tables.root)
     served = S.serve_by_key(views.batch["town"], views.speed["town"], "town", ntz("2021-01-01 00:00:00"))
     assert [tuple(r) for r in served.collect()] == [("T", 40)]
+
+
+def test_csv_lines_that_are_no_rows_stay_on_record(spark, folder):
+    csv, out, schema = folder("csv"), folder("raw"), "a long, b string, c double"
+    lines = ['a,b,c', '1,x,2.5', '2,"torn', 'apart",3', '4,y,many', '5,z', '6,,7', '8,"q ""r""",9']
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(csv)
+    schema = spark.createDataFrame([], schema).schema
+    rows = ingest_csv(spark, csv, out, schema).collect()
+    assert sorted(map(tuple, rows)) == [(1, "x", 2.5), (4, "y", None), (6, None, 7.0), (8, 'q "r"', 9.0)]
+    bad = refused_lines(spark, out, schema).collect()
+    assert sorted(r.line for r in bad if r.dropped) == sorted(['2,"torn', 'apart",3', '5,z'])
+    assert [r.line for r in bad if not r.dropped] == ['{"a":"4","b":"y","c":"many"}']
+    whole = ingest_csv(spark, csv, folder("raw"), schema, multi_line=True).collect()
+    assert (2, "torn\napart", 3.0) in map(tuple, whole)
+
+
+def test_an_empty_csv(spark, folder):
+    csv = folder("csv")
+    spark.createDataFrame([("a",)], "value string").coalesce(1).write.text(csv)
+    assert ingest_csv(spark, csv, folder("raw"), spark.range(0).schema).collect() == []
