@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow import schemas
@@ -88,6 +88,19 @@ def date_text(df: DataFrame) -> DataFrame:
     return df.withColumn("date_recorded", F.col("date_recorded").cast("string"))
 
 
+# Every column of a row that both engines write as the same text.
+_HASHED = ("serial_number", "date_recorded", "town", "address", "residential_type", "non_use_code",
+           "assessor_remarks", "opm_remarks", "location")
+_HASH_SQL = "md5(concat_ws('|', " + ", ".join(
+    f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _HASHED) + "))"
+
+
+def row_hash() -> Column:
+    """32 bits of the MD5 of a row; their sum tells any changed or swapped value."""
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in _HASHED]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *cells)), 1, 8), 16, 10).cast("bigint")
+
+
 def digest(df: DataFrame) -> DataFrame:
     def size(column: str):
         return F.coalesce(F.sum(F.length(column)), F.lit(0)).alias(f"{column}_size")
@@ -102,7 +115,7 @@ def digest(df: DataFrame) -> DataFrame:
         F.round(F.sum("sale_amount"), 2).alias("amount"),
         F.round(F.sum(ratio), 4).alias("ratio"),
         F.count_if(F.isnan("sales_ratio")).alias("nan_ratios"),
-        F.count("town").alias("towns"),
+        F.count("town").alias("towns"), F.sum(row_hash()).alias("hashes"),
         size("address"), size("residential_type"), size("assessor_remarks"), size("location"))
 
 
@@ -116,7 +129,8 @@ SELECT list_year, property_type, count(*) AS n, CAST(sum(serial_number) AS BIGIN
   CAST(max(date_recorded) AS VARCHAR) AS last_date,
   round(sum(assessed_value), 2) AS assessed, round(sum(sale_amount), 2) AS amount,
   round(sum(CASE WHEN NOT isnan(sales_ratio) THEN sales_ratio END), 4) AS ratio,
-  count(*) FILTER (isnan(sales_ratio)) AS nan_ratios, count(town) AS towns, {sizes}{more}
+  count(*) FILTER (isnan(sales_ratio)) AS nan_ratios, count(town) AS towns,
+  CAST(sum(CAST('0x' || substr({_HASH_SQL}, 1, 8) AS BIGINT)) AS BIGINT) AS hashes, {sizes}{more}
 FROM {source} GROUP BY list_year, property_type"""
 
 
