@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm import decontamination, jaccard, lines, packing, toxicity
-from salesflow.llm.queries import table, toxicity_model
+from salesflow.llm.queries import table, tokenizer_path, toxicity_model
 from salesflow.session import stage
 
 # SQL can't express the trained classifier of the first stage; tests compare every stage with
@@ -57,8 +57,8 @@ def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document stands in the training sequences."""
-    return packing.pack_documents(docs)
+    """Where each piece of each document stands in the training sequences, in token ids."""
+    return packing.pack_documents(docs, tokenizer=tokenizer_path())
 
 
 STAGES = [

@@ -7,7 +7,11 @@ optimised jointly: the packing is tried with each of them as the largest length
 opened for filling up, and the one with the least total cost stays.
 
 Each task packs its own rows in windows of ``window`` documents, so nothing is shuffled and a task's
-memory is bounded; a repeated task gives the same bins. Only lengths reach Python, never text.
+memory is bounded; a repeated task gives the same bins.
+
+Lengths are counts of token ids if a ``tokenizer`` file is named: the same ids as in
+:mod:`salesflow.llm.tokens`, the end id included. The texts then pass the Arrow task, which keeps
+only their lengths. Otherwise they are the column ``n_tokens``, or, without one, words and an end token.
 
 Defined results: an item longer than the longest bin is cut into full bins and a rest (no token
 is dropped); null lengths and lengths below 1 count as 1 (an end token); repeated and null
@@ -21,10 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.llm.textscan import pieces
+from salesflow.llm.tokens import encoder
+
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 WINDOW = 100_000
 PIECE_ROWS = ("piece int, n_tokens int, doc_start bigint, bin_id bigint, bin_start int, "
@@ -128,6 +136,15 @@ def _packed(batches: Iterator[pa.RecordBatch], costs: dict[int, float], window:
         yield from flush()
 
 
+def _id_counts(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
+    """(doc_id, token ids and an end id) of rows (doc_id, text)."""
+    known = encoder(tokenizer)
+    for batch in batches:
+        counts = [known.encode(texts)[1] for _, texts in pieces(pc.fill_null(batch.column(1), ""))]
+        n = pa.array(np.concatenate([np.zeros(0, np.int64), *counts]) + 1)
+        yield pa.RecordBatch.from_arrays([batch.column(0), n], names=["doc_id", "n"])
+
+
 def word_tokens(text: Column) -> Column:
     """The words of a text and an end token."""
     words = F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", -1), "")
@@ -136,12 +153,18 @@ def word_tokens(text: Column) -> Column:
 
 def pack_documents(docs: DataFrame, n_tokens: Column | None = None,
                    lengths: tuple[int, ...] = LENGTHS, costs: dict[int, float] | None = None,
-                   window: int = WINDOW) -> DataFrame:
+                   window: int = WINDOW, tokenizer: str | None = None) -> DataFrame:
     """One row per piece: doc_id, piece, n_tokens, doc_start, bin_id, bin_start, capacity."""
     if not lengths or min(lengths) < 1:
         raise ValueError("permitted lengths must be positive")
+    if tokenizer is not None and n_tokens is not None:
+        raise ValueError("lengths come from n_tokens or from a tokenizer, not from both")
     prices = costs or bin_costs(tuple(sorted(set(lengths))))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = f"doc_id {kind}, {PIECE_ROWS}"
+    if tokenizer is not None:
+        return docs.select("doc_id", "text").mapInArrow(
+            lambda b: _packed(_id_counts(b, tokenizer), prices, window), rows)
     sized = docs.select("doc_id", (word_tokens(F.col("text")) if n_tokens is None else n_tokens)
                         .cast("bigint").alias("n"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return sized.mapInArrow(lambda b: _packed(b, prices, window), f"doc_id {kind}, {PIECE_ROWS}")
+    return sized.mapInArrow(lambda b: _packed(b, prices, window), rows)

@@ -245,4 +245,4 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path())

@@ -3,9 +3,12 @@
 from collections import defaultdict
 
 import numpy as np
+import corpus_pipeline
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from salesflow.llm import packing
+from salesflow.llm.queries import QUERIES, tokenizer_path
 
 ROWS = [(i, " ".join("w" * (i * 37 % 400))) for i in range(300)] + [(1, "again"), (None, "x y"), (900, None), (901, ""), (902, "w " * 20_000)]
 
@@ -76,3 +79,21 @@ def test_lengths_windows_and_empty(spark):
     assert run(spark, []) == []
     got = run(spark, ROWS, n_tokens=F.lit(None).cast("bigint"), lengths=(4, 2), window=10)
     assert len(got) == len(ROWS) and {r.n_tokens for r in got} == {1} and {r.capacity for r in got} <= {2, 4}
+
+
+def test_query_and_stage_count_token_ids(spark, folder):
+    texts = ["unbelievable extraordinarily", "日本語" * 9000, "x" * 50_000, "", None, "don't 12,5 ab "]
+    rows = [(i % 5 or None, t) for i, t in enumerate(texts)]
+    path = folder()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{path}/documents.parquet")
+    library = Tokenizer.from_file(tokenizer_path())
+    ids = [len(library.encode(t or "", add_special_tokens=False).ids) + 1 for t in texts]
+    expected = sorted(min(8192, n - a) for n in ids for a in range(0, n, 8192))
+    for got in (QUERIES["op10_best_fit_packing"](spark, path), corpus_pipeline.pack_sequences(spark, docs, path)):
+        got = got.collect()
+        assert sorted(r.n_tokens for r in got) == expected and max(ids) > 8192
+        filled = defaultdict(int)
+        for r in got:
+            filled[r.bin_id, r.capacity] += r.n_tokens
+        assert all(n <= room for (_, room), n in filled.items())
