@@ -38,22 +38,31 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
                            .otherwise(F.length("text").cast("bigint")))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a stored number per row: doc_ids may be null or repeated."""
+    return stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "numbered")
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group linked by shingles.
+    """One document of each group linked by shingles: the one with the smallest doc_id.
 
-    Of rows with equal doc_id and shingles, all stay or go together; documents without a word are
-    linked to nothing and stay.
+    A null doc_id is larger than any other; of equal doc_ids one row stays. Documents without a
+    word are linked to nothing and stay.
     """
-    groups = jaccard.near_duplicates(docs)
-    others = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(others, "doc_id", "left_anti").select(*COLUMNS)
+    rows = numbered(docs)
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col("__row").alias("row"))
+    groups = jaccard.near_duplicates(rows.select(key.alias("doc_id"), "text"))
+    others = groups.filter("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("__row"))
+    return rows.join(others, "__row", "left_anti").select(*COLUMNS)
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without any passage of the benchmark."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.filter("contaminated").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(hit, "doc_id", "left_anti").select(*COLUMNS)
+    """The documents without any passage of the benchmark, row by row."""
+    rows = numbered(docs)
+    found = decontamination.contamination(rows.select(F.col("__row").alias("doc_id"), "text"),
+                                          table(spark, sf_dir, "benchmark"))
+    hit = found.filter("contaminated").select(F.col("doc_id").alias("__row"))
+    return rows.join(hit, "__row", "left_anti").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -42,3 +42,34 @@ def test_stages(spark, sf_dir, monkeypatch):
 def test_five_stages_in_order():
     assert [n for n, _ in P.STAGES] == ["toxicity", "line_dedup", "ngram_jaccard", "decontamination", "packing"]
     assert toxicity.THRESHOLD == 0.7 and packing.LENGTHS
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+
+
+def test_one_row_of_each_group_stays_with_null_and_repeated_ids(spark, sf_dir):
+    first, second, third = (" ".join(f"{w}{i}" for i in range(40)) for w in "abc")
+    near = first + " more"
+    rows = [(7, first), (None, near), (3, near), (3, near), (3, "alone one"), (None, "alone two"),
+            (None, second), (None, second), (None, second + " x"), (9, third), (9, third), (9, third),
+            (None, None), (None, ""), (4, None), (4, None)]
+    got = rows_of(P.drop_near_duplicates(spark, documents(spark, rows), sf_dir))
+    assert [g for g in got if g[1] not in (second, second + " x")] == sorted(
+        [(3, near), (3, "alone one"), (None, "alone two"), (9, third), (None, None), (None, ""),
+         (4, None), (4, None)], key=str)
+    assert [g[0] for g in got if g[1] in (second, second + " x")] == [None]
+
+
+def test_benchmark_rows_go_with_null_and_repeated_ids(spark, folder):
+    path, passage = folder(), "one two three four five six seven eight nine ten eleven"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    rows = [(None, f"x {passage} y"), (None, "clean"), (5, passage), (5, "clean too"), (5, "clean too"),
+            (6, passage), (None, None), (None, passage)]
+    got = rows_of(P.drop_benchmark_documents(spark, documents(spark, rows), path))
+    assert got == sorted([(None, "clean"), (5, "clean too"), (5, "clean too"), (None, None)], key=str)
