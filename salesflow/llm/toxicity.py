@@ -69,36 +69,43 @@ def presences(texts: pa.Array, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, least_docs: int = 4,
-        least_share: float = 0.02, least_ratio: float = 2.0, smooth: float = 1.0, l2: float = 1e-3, steps: int = 300) -> Model:
+        least_gain: float = 10.83, least_ratio: float = 2.0, smooth: float = 1.0, l2: float = 1e-4,
+        steps: int = 1000) -> Model:
     """Ratios, then a weighted logistic regression on the scaled presences.
 
-    An n-gram needs ``least_docs`` texts, and ``least_share`` of the smaller class: labels are
-    noisy, and an n-gram of a few texts would only learn their noise.
+    An n-gram needs ``least_docs`` texts, and a likelihood ratio against the share of toxic texts
+    of ``least_gain`` (chi-squared, one degree of freedom): labels are noisy, and an n-gram of a few
+    mixed texts would only learn their noise. Neither grows with the texts of other languages.
     """
     toxic = labels == 1
     share = float(np.average(toxic, weights=weights)) if len(labels) else 0.0
     if not toxic.any() or toxic.all():
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model(np.zeros(0, np.uint32), np.zeros(0), float(np.log(share / (1 - share))))
-    least = max(least_docs, least_share * min(toxic.sum(), (~toxic).sum()))
 
     def ratios(with_it: np.ndarray, without: np.ndarray) -> np.ndarray:
         return np.log(((with_it + smooth) / (toxic.sum() + 2 * smooth))
                       / ((without + smooth) / ((~toxic).sum() + 2 * smooth)))
 
+    def gain(with_it: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        base = toxic.mean()
+        return 2 * sum(n * np.log(np.maximum(n, 1) / (docs * p))
+                       for n, p in ((with_it, base), (docs - with_it, 1 - base)))
+
     # first by buckets of hashes, so that only promising n-grams are held for all texts
     counts = np.zeros((2, _SIEVE), np.int64)
     for owner, code in _distinct(texts):
         for side in (0, 1):
             counts[side] += np.bincount(code[toxic[owner] == side] % _SIEVE, minlength=_SIEVE)
-    promising = (counts.sum(axis=0) >= least) & (np.abs(ratios(counts[1], counts[0])) >= least_ratio / 2)
+    promising = (counts.sum(axis=0) >= least_docs) & (np.abs(ratios(counts[1], counts[0])) >= least_ratio / 2)
     owner, code = (np.concatenate(x) for x in zip(*(
         (o[promising[c % _SIEVE]], c[promising[c % _SIEVE]]) for o, c in _distinct(texts)), strict=True))
     owner, code = _split(np.unique((owner << 32) | code))
     hashes, place, docs = np.unique(code, return_inverse=True, return_counts=True)
     with_it = np.bincount(place, weights=toxic[owner], minlength=len(hashes))
     ratio = ratios(with_it, docs - with_it)
-    used = np.flatnonzero((docs >= least) & (np.abs(ratio) >= least_ratio))
+    used = np.flatnonzero((docs >= least_docs) & (np.abs(ratio) >= least_ratio)
+                          & (gain(with_it, docs) >= least_gain))
     new = np.full(len(hashes), -1)
     new[used] = np.arange(len(used))
     keep = np.flatnonzero(new[place] >= 0)

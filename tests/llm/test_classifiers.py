@@ -60,3 +60,20 @@ def test_toxicity_edges(spark):
     assert max(toxicity.score_texts(pa.array(["stupid", None]), one_sided)) < 0.01
     none = toxicity.train(df.limit(0).select("doc_id", "text"), spark.createDataFrame([], "doc_id long, toxic int"))
     assert toxicity.score_texts(pa.array([""]), none)[0] < 0.01
+
+
+def test_toxic_terms_of_a_small_language_are_learnt():
+    rng = np.random.default_rng(5)
+    words = {k: ["".join(rng.choice(list(k), 7)) for _ in range(60)] for k in ("abcdefgh", "mnopqrst")}
+
+    def text(letters, *terms):
+        return " ".join([*rng.choice(words[letters], 30), *terms])
+
+    rows = [(text("abcdefgh", "wretchedfool"), 1) for _ in range(600)] + [(text("abcdefgh"), 0) for _ in range(600)]
+    rows += [(text("mnopqrst", "estupidillo"), 1) for _ in range(9)] + [(text("mnopqrst"), 0) for _ in range(100)]
+    model = toxicity.fit(pa.array([t for t, _ in rows]), np.array([y for _, y in rows]), np.ones(len(rows)))
+    # nine toxic texts of 609: a share below 2%
+    found = toxicity.presences(pa.array(["estupidillo"]), model.hashes)[1]
+    assert (model.weights[found] > 0).any()
+    new = toxicity.score_texts(pa.array([text("mnopqrst", "estupidillo"), text("mnopqrst")]), model)
+    assert new[0] >= toxicity.THRESHOLD > 0.5 > new[1]
