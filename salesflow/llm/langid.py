@@ -124,11 +124,16 @@ def _weigh(owner: np.ndarray, bucket: np.ndarray, weight: np.ndarray, logits: np
 
 
 def train(labelled: DataFrame, rows: int = SAMPLE_ROWS, **params) -> Model:
-    """Fit on about ``rows`` labelled documents (text, lang, held), chosen by a hash of their text."""
-    usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL")
-    total = usable.select("lang").count()
+    """Fit on about ``rows`` different labelled texts (text, lang, held), chosen by a hash.
+
+    Copies count once, so a large group of them can't fill the sample; one with a held copy is held.
+    """
+    spot = F.xxhash64(F.lit(11), "text", "lang")
+    usable = labelled.filter("lang IS NOT NULL AND text IS NOT NULL").withColumn("__spot", spot)
+    total = usable.select("__spot").distinct().count()
     bound = int(min(1.0, rows / max(total, 1)) * (1 << 30))
-    chosen = usable.filter(F.pmod(F.xxhash64(F.lit(11), "text", "lang"), F.lit(1 << 30)) < bound)
+    chosen = usable.filter(F.pmod("__spot", F.lit(1 << 30)) < bound).groupBy("text", "lang").agg(
+        F.max("held").alias("held"))
     table = chosen.select("text", "lang", "held").toArrow().combine_chunks()
     # by text, so that the order in which tasks end does not matter
     table = table.take(pc.sort_indices(table, [("text", "ascending"), ("lang", "ascending")]))

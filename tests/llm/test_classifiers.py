@@ -77,3 +77,15 @@ def test_toxic_terms_of_a_small_language_are_learnt():
     assert (model.weights[found] > 0).any()
     new = toxicity.score_texts(pa.array([text("mnopqrst", "estupidillo"), text("mnopqrst")]), model)
     assert new[0] >= toxicity.THRESHOLD > 0.5 > new[1]
+
+
+def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(langid, "fit", lambda texts, langs, held: taken.append((texts.to_pylist(), langs, held.tolist())))
+    rows = [(f"copy {k}", "en", i == 0) for k in range(5) for i in range(400)] + [(f"text {i}", "de", False) for i in range(1000)]
+    df = spark.createDataFrame(rows, "text string, lang string, held boolean").repartition(3)
+    langid.train(df, rows=10_000)
+    texts, langs, held = taken.pop()
+    assert len(texts) == len(set(texts)) == 1005 and langs.count("en") == sum(held) == 5
+    langid.train(df, rows=200)
+    assert 140 < len(taken.pop()[0]) < 260
