@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import hashlib
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesflow.llm import chat, decontamination, jaccard, langid, lines, packing, pii, search, tokens, toxicity
+from salesflow.llm import (
+    bpe, chat, decontamination, jaccard, langid, lines, packing, pii, ranked, repair, search, tokens, toxicity)
 from salesflow.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -246,3 +250,109 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path())
+
+
+# --- 11 conversation structure repair
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = repair.repair(damaged(rows))
+    said = fixed.rows.select("conv_id", "place", "step", F.concat("role", F.lit(":"), "text").alias("line"))
+    report = fixed.report.join(line_digests(said), "conv_id_key", "left")
+    everyone = rows.select(repair.key_of("conv_id").alias("conv_id_key"), "conv_id").distinct()
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in (
+        "gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return everyone.join(report.drop("conv_id"), "conv_id_key", "left").select(
+        "conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows with the stated faults put in, chosen by a checksum of conv_id and turn."""
+    blank = F.lit(" ")
+    named = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), blank),
+                        F.coalesce(F.col("turn").cast("string"), blank))
+    text = F.coalesce("text", blank)
+    kind = F.crc32(named.cast("binary")) % 20
+    return rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(F.coalesce("role", blank)).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 0, F.array().cast("array<int>")).when(kind == 3, F.array(F.lit(0), F.lit(1)))
+                  .otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+def line_digests(said: DataFrame) -> DataFrame:
+    """conv_id_key, sha256 of each conversation's lines, joined by newlines; streamed in order."""
+    key = repair.key_of("conv_id").alias("conv_id_key")
+    ordered = said.select(key, "place", "step", "line").repartition("conv_id_key").sortWithinPartitions(
+        "conv_id_key", "place", "step").select("conv_id_key", "line")
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["conv_id_key", "sha256"]
+        open_key, state = None, None
+        for batch in batches:
+            done: list[tuple] = []
+            for k, line in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if k != open_key or state is None:
+                    if state is not None:
+                        done.append((open_key, state.hexdigest()))
+                    open_key, state = k, hashlib.sha256()
+                else:
+                    state.update(b"\n")
+                state.update(line.as_buffer())
+            yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.string()) for i in (0, 1)], names=names)
+        if state is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x], pa.string()) for x in (open_key, state.hexdigest())], names=names)
+
+    return ordered.mapInArrow(digests, "conv_id_key string, sha256 string")
+
+
+# --- 12 ranked lexical search
+
+@query("op12_ranked_search", f"""
+WITH docs AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+corpus AS (SELECT count(*) FILTER (len(w) > 0) AS n, CAST(sum(len(w)) AS BIGINT) AS l FROM docs),
+tf AS (SELECT doc_id, term, count(*) AS c FROM (SELECT doc_id, unnest(w) AS term FROM docs) GROUP BY 1, 2),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM tf, corpus GROUP BY term),
+norms AS (SELECT doc_id, 100 - 50 + ((50 * len(w) * n) // l) AS m FROM docs, corpus WHERE len(w) > 0),
+items AS (SELECT DISTINCT item_id, unnest({_WORDS_SQL}) AS term FROM benchmark),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * c) // (1000 * c + 20 * m))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (doc_id) GROUP BY 1, 2),
+ranked AS (SELECT item_id, CAST(row_number() OVER (
+  PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50""")
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
+# --- 13 byte-level BPE encoding and decoding
+
+@query("op13_byte_bpe")
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.tiktoken")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Encode, decode, and digest what came out, in one worker."""
+        size = bpe.vocabulary(path).size
+        text = [b"%d " % i for i in range(size)]
+        lengths = np.fromiter(map(len, text), np.int64, size)
+        flat, begins = np.frombuffer(b"".join(text), np.uint8), np.cumsum(lengths) - lengths
+        for batch in bpe.decode_batches(bpe.encode_batches(batches, path), path):
+            counts, ids, back = [], [], []
+            for tokens, decoded in zip(batch.column(1), batch.column(2), strict=True):
+                numbers = bpe.gather(flat, begins, lengths, np.asarray(tokens.values))
+                counts.append(len(tokens))
+                ids.append(hashlib.sha256(numbers[:-1]).hexdigest())
+                back.append(hashlib.sha256(decoded.as_buffer()).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.mapInArrow(
+        digests, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
