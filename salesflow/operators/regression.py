@@ -3,13 +3,16 @@
 Single fits use Spark ML, whose normal-equation solver reads the data once.
 Cross-validation and grid search need many fits on overlapping rows: they sum
 the products of all feature pairs once per fold, on the cluster, and solve the
-small systems (features x features) that remain.
+small systems (features x features) that remain. Those sums, and the sums of held-out
+errors, are exact (:mod:`salesflow.operators.exact`): models, scores and the order of a
+search don't change with the number or the timing of tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -18,6 +21,8 @@ from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesflow.operators import exact
+
 EPS = float(np.finfo(np.float64).eps)
 VECTOR, PREDICTION = "features", "prediction"
 
@@ -161,22 +166,44 @@ def scores(df: DataFrame, features: Sequence[str], label: str,
 
 @dataclass(frozen=True)
 class Gram:
-    """``Z'Z`` with ``Z = (1, features, label)``; adding two joins their rows."""
+    """``Z'Z`` with ``Z = (1, features, label)``; adding two joins their rows.
+
+    ``units`` has the same products as integers (see :mod:`salesflow.operators.exact`), where they are known.
+    """
 
     products: np.ndarray
+    units: tuple[tuple[int, ...], ...] | None = field(default=None, repr=False)
+
+    @classmethod
+    def of_units(cls, cells: dict[tuple[int, int], int], size: int) -> Gram:
+        units = tuple(tuple(cells.get((min(i, j), max(i, j)), 0) for j in range(size)) for i in range(size))
+        return cls(np.array([[exact.rounded(u) for u in row] for row in units]), units)
 
     def __add__(self, other: Gram) -> Gram:
-        return Gram(self.products + other.products)
+        if self.units is None or other.units is None:
+            return Gram(self.products + other.products)
+        size = len(self.units)
+        return Gram.of_units({(i, j): self.units[i][j] + other.units[i][j]
+                           for i in range(size) for j in range(i, size)}, size)
 
     @property
     def rows(self) -> float:
         return float(self.products[0, 0])
 
     def centred(self) -> tuple[np.ndarray, np.ndarray, float, np.ndarray, float]:
-        """(X'X, X'y, y'y, mean x, mean y), the products about the means."""
-        p, n = self.products, self.rows
-        mean = p[0] / n
-        c = p - n * np.outer(mean, mean)
+        """(X'X, X'y, y'y, mean x, mean y), the products about the means.
+
+        Of exact products each number is rounded once, so nothing cancels.
+        """
+        if self.units is None:
+            p, n = self.products, self.rows
+            mean = p[0] / n
+            c = p - n * np.outer(mean, mean)
+        else:
+            u, n = self.units, self.units[0][0] >> exact.SCALE
+            mean = np.array([exact.rounded(s, n) for s in u[0]])
+            c = np.array([[(n * u[i][j] - (u[0][i] * u[0][j] >> exact.SCALE)) / (n << exact.SCALE)
+                           for j in range(len(u))] for i in range(len(u))])
         return c[1:-1, 1:-1], c[1:-1, -1], float(c[-1, -1]), mean[1:-1], float(mean[-1])
 
 
@@ -184,33 +211,36 @@ def grams(df: DataFrame, features: Sequence[str], label: str,
           by: Column | None = None) -> dict[int, Gram]:
     """One :class:`Gram` per value of ``by``, from one pass.
 
-    A task multiplies its Arrow batches and leaves one row per cell of each
-    matrix; only these meet in the exchange.
+    A task multiplies its Arrow batches and leaves a few digits per cell of each
+    matrix; only these meet in the exchange, as integers. Values must be finite.
     """
     names = [*features, label]
     size = len(names) + 1
-    upper = np.triu_indices(size)
 
     def products(batches):
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[int, dict[tuple[int, int], int]] = {}
         for batch in batches:
             for k, rows in batch.groupby("part"):
-                z = np.column_stack([np.ones(len(rows)), rows.iloc[:, 1:].to_numpy()])
-                sums[k] = sums.get(k, 0.0) + z.T @ z
-        for k, total in sums.items():
-            yield pd.DataFrame({"part": k, "i": upper[0], "j": upper[1], "total": total[upper]})
+                z = np.column_stack([np.ones(len(rows)), rows.iloc[:, 1:].to_numpy(np.float64)])
+                known = sums.setdefault(k, {})
+                for cell, total in exact.products(z).items():
+                    known[cell] = known.get(cell, 0) + total
+        for k, cells in sums.items():
+            digits = [(i, j, place, digit) for (i, j), total in cells.items()
+                      for place, digit in exact.limbs(total)]
+            yield pd.DataFrame(digits, columns=["i", "j", "place", "digit"]).assign(part=k)
 
     summed = (
         df.select((F.lit(0) if by is None else by).cast("long").alias("part"),
                   *[F.col(f"`{c}`").cast("double").alias(f"z{i}") for i, c in enumerate(names)])
-        .mapInPandas(products, "part long, i long, j long, total double")
-        .groupBy("part", "i", "j").agg(F.sum("total").alias("total"))
+        .mapInPandas(products, "part long, i long, j long, place long, digit long")
+        .groupBy("part", "i", "j", "place").agg(F.sum("digit").alias("digit"))
     )
-    found: dict[int, np.ndarray] = {}
-    for row in summed.collect():  # parts x cells
-        cells = found.setdefault(row.part, np.zeros((size, size)))
-        cells[row.i, row.j] = cells[row.j, row.i] = row.total
-    return {k: Gram(cells) for k, cells in found.items()}
+    found: dict[int, dict[tuple[int, int], list]] = {}
+    for row in summed.collect():  # parts x cells x a few digits
+        found.setdefault(row.part, {}).setdefault((row.i, row.j), []).append((row.place, row.digit))
+    return {k: Gram.of_units({cell: exact.joined(digits) for cell, digits in found[k].items()}, size)
+            for k in sorted(found)}
 
 
 def bayesian_ridge(gram: Gram, max_iter: int = 300, tol: float = 1e-3,
@@ -246,7 +276,8 @@ def descend(grams_: Sequence[Gram], penalties: Sequence[Penalty], iterations: Se
     Returns, for each of ``iterations``, the weights after at most that many
     sweeps: an array (problem, feature).
     """
-    systems = [g.centred() for g in grams_]
+    known = {id(g): g.centred() for g in grams_}
+    systems = [known[id(g)] for g in grams_]
     a = np.stack([s[0] / g.rows for s, g in zip(systems, grams_)])
     b = np.stack([s[1] / g.rows for s, g in zip(systems, grams_)])
     l1 = np.array([p.l1 for p in penalties])
@@ -293,38 +324,52 @@ def _held_out_mape(df: DataFrame, features: Sequence[str], label: str, part: Col
                    models: dict[int, list[Linear]]) -> dict[str, float]:
     """Mean over the folds of the MAPE on the fold a model has not seen.
 
-    One pass: a task multiplies its Arrow batches with the weights of their
-    fold's models and leaves one row of sums per fold and model.
+    One pass: a task applies the models of their fold to its Arrow batches, feature by feature, and leaves
+    exact sums per fold and model. Models with the same weights in every fold are scored once.
     """
-    weights = {
-        k: (np.array([m.weights for m in v]), np.array([m.intercept for m in v]))
-        for k, v in models.items()}
-    names = [m.name for m in next(iter(models.values()))]
+    folds = sorted(models)
+    names = [m.name for m in models[folds[0]]]
+    same: dict[tuple, list[str]] = {}
+    for i, name in enumerate(names):
+        same.setdefault(tuple((models[k][i].weights, models[k][i].intercept) for k in folds), []).append(name)
+    weights = {k: (np.array([v[f][0] for v in same]), np.array([v[f][1] for v in same]))
+               for f, k in enumerate(folds)}
     columns = [f"x{i}" for i in range(len(features))]
 
     def errors(batches):
-        sums: dict[int, np.ndarray] = {}
+        sums: dict[int, list[int]] = {}
         counts: dict[int, int] = {}
         for batch in batches:
             for k, rows in batch.groupby("part"):
                 w, intercept = weights[k]
-                y = rows["y"].to_numpy()[:, None]
-                p = rows[columns].to_numpy() @ w.T + intercept
+                x, y = rows[columns].to_numpy(np.float64), rows["y"].to_numpy(np.float64)[:, None]
+                p = np.repeat(intercept[None, :], len(rows), axis=0)
+                for j in range(len(columns)):  # a fixed order of additions for every row
+                    p += x[:, j:j + 1] * w[:, j]
                 relative = np.abs(y - p) / np.maximum(np.abs(y), EPS)
-                sums[k] = sums.get(k, 0.0) + relative.sum(axis=0)
+                sums[k] = [a + b for a, b in zip(sums.get(k, [0] * len(w)), exact.totals(relative), strict=True)]
                 counts[k] = counts.get(k, 0) + len(rows)
-        for k, total in sums.items():
-            yield pd.DataFrame(
-                {"part": k, "model": range(len(names)), "total": total, "n": counts[k]})
+        for k, found in sums.items():
+            digits = [(m, place, digit) for m, total in enumerate(found) for place, digit in exact.limbs(total)]
+            digits.append((-1, 0, counts[k]))
+            yield pd.DataFrame(digits, columns=["model", "place", "digit"]).assign(part=k)
 
-    sums = (
+    summed = (
         df.select(part.cast("long").alias("part"), F.col(label).alias("y"),
                   *[F.col(f"`{f}`").alias(c) for f, c in zip(features, columns)])
-        .mapInPandas(errors, "part long, model long, total double, n long")
-        .groupBy("part", "model").agg((F.sum("total") / F.sum("n")).alias("mape"))
-        .groupBy("model").agg(F.avg("mape").alias("mape"))
+        .mapInPandas(errors, "part long, model long, place long, digit long")
+        .groupBy("part", "model", "place").agg(F.sum("digit").alias("digit"))
     )
-    return {names[r.model]: r.mape for r in sums.collect()}  # one row per model
+    digits: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    for r in summed.collect():  # folds x models x a few digits
+        digits.setdefault((r.part, r.model), []).append((r.place, r.digit))
+    seen = sorted({k for k, m in digits if m == -1})
+    out = {}
+    for m, group in enumerate(same.values()):
+        by_fold = [Fraction(exact.joined(digits.get((k, m), [])), exact.joined(digits[k, -1]) << exact.SCALE)
+                   for k in seen]
+        out.update(dict.fromkeys(group, float(sum(by_fold) / len(by_fold)) if by_fold else None))
+    return {name: out[name] for name in names}
 
 
 def _training_grams(parts: dict[int, Gram]) -> dict[int, Gram]:
@@ -363,8 +408,9 @@ def grid_search(df: DataFrame, features: Sequence[str], label: str, part: Column
                      max_iters)
     models: dict[int, list[Linear]] = {k: [] for k in folds}
     grid = [(float(a), m) for a in alphas for m in max_iters]
+    means = {k: training[k].centred()[3:] for k in folds}
     for index, (k, a) in enumerate(problems):
-        _, _, _, mean_x, mean_y = training[k].centred()
+        mean_x, mean_y = means[k]
         for m in max_iters:
             w = solved[m][index]
             models[k].append(Linear(f"{float(a)}/{m}", tuple(w.tolist()),
