@@ -63,3 +63,30 @@ def quarantine(df: DataFrame, schema: T.StructType = schemas.WIRE,
         .select(F.col("_message").alias("value"),
                 _unreadable(schema, is_message).alias("dropped"))
     )
+
+
+MESSAGE = "_message"
+
+
+def parse(df: DataFrame, schema: T.StructType = schemas.WIRE, column: str = "value") -> DataFrame:
+    """Every message once: its text, its fields, and the corrupt text; the other columns stay.
+
+    :func:`readable` and :func:`refused` are the two sides of it.
+    """
+    others = [F.col(c) for c in df.columns if c != column]
+    return _parsed(df, schema, column, F.col(column).alias(MESSAGE), *others)
+
+
+def readable(parsed: DataFrame, schema: T.StructType = schemas.WIRE) -> DataFrame:
+    """The rows of :func:`parse` from which something could be read; the message text is left out."""
+    return parsed.filter(~_unreadable(schema, F.col(MESSAGE).isNotNull())).drop(MESSAGE, CORRUPT)
+
+
+def refused(parsed: DataFrame, schema: T.StructType = schemas.WIRE) -> DataFrame:
+    """The messages of :func:`parse` that were not fully readable: value, dropped, and the other columns."""
+    is_message = F.col(MESSAGE).isNotNull()
+    return (
+        parsed.filter(~is_message | F.col(CORRUPT).isNotNull())
+        .withColumn("dropped", _unreadable(schema, is_message))
+        .withColumnRenamed(MESSAGE, "value").drop(CORRUPT, *schema.names)
+    )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,11 +20,13 @@ from salesflow.operators.aggregates import VIEW_KEYS, cells_by, cells_totals, sa
 from salesflow.operators.serving import serve_by_key, serve_totals, top_k
 from salesflow.session import stage
 from salesflow.sources.files import ingest_csv, part_count, split_by_date
+from salesflow.sources.log import CommitLog, latest
+from salesflow.sources.log import publish as publish_version
 from salesflow.sources.tables import (
     created_before, publish_view, read_since, read_table, read_view, write_view)
 from salesflow.streaming.bus import Topic, publish, stream_sales
-from salesflow.streaming.layers import (
-    SPEED_VIEWS, Tables, read_lake, read_speed, run_ingest, run_quarantine)
+from salesflow.streaming.compaction import compact, sweep
+from salesflow.streaming.layers import SPEED_VIEWS, Snapshot, Tables, read_lake, read_speed, run_ingest
 
 
 def now() -> Column:
@@ -41,12 +45,15 @@ def prepare(spark: SparkSession, csv_path: str, out: str, parts: int | None = No
 def closed_cutoff(spark: SparkSession, tables: Tables) -> Column | None:
     """A cutoff that splits the rows exactly while streams run; None before the first batch.
 
-    A stream's micro-batches follow one another, and each is stored in the lake before its
-    partials: all that carries a stamp up to its newest partials is complete in both.
-    The cutoff is just above the oldest of the streams' newest stamps. Rows of open
-    micro-batches have later stamps, so they stay with the speed views. A further stream
-    counts from its first stored partials on: let it finish a batch before the next run.
+    The streams' log has it: every open stream's frontier is just above its last stored micro-batch, or the
+    moment it was opened, and the cutoff is the lowest of them; retired streams hold nothing up. Take the lake
+    from the same :class:`Snapshot`, or after the cutoff (:func:`run_batch` does).
+
+    Tables that were written without a log count by the stored partials of their streams.
     """
+    if CommitLog(spark, tables.root).exists():
+        frontier = Snapshot.take(spark, tables).cutoff()
+        return _literal(frontier) if frontier else None
     try:
         newest = read_speed(spark, tables, "totals").groupBy("stream").agg(F.max("created_at").alias("at"))
     except AnalysisException as error:
@@ -54,7 +61,20 @@ def closed_cutoff(spark: SparkSession, tables: Tables) -> Column | None:
             raise
         return None
     last = newest.agg(F.min("at").alias("at")).first().at
-    return ntz((last + timedelta(microseconds=1)).strftime("%Y-%m-%d %H:%M:%S.%f")) if last else None
+    return _literal(last + timedelta(microseconds=1)) if last else None
+
+
+def _literal(moment: datetime) -> Column:
+    return ntz(moment.isoformat(sep=" ", timespec="microseconds"))
+
+
+def retire_stream(spark: SparkSession, tables: Tables, checkpoint: str) -> None:
+    """A stream will not run again from its checkpoint: it no longer holds the cutoff back.
+
+    A micro-batch that it had begun and not stored is given up; its messages are still on the topic, for
+    a stream with another checkpoint.
+    """
+    CommitLog(spark, tables.root).close_stream(checkpoint, force=True)
 
 
 # --- batch layer -----------------------------------------------------------------
@@ -99,6 +119,16 @@ def batch_layer(lake: DataFrame, root: str, run_id: str, cutoff: Column,
     return done
 
 
+def run_batch(spark: SparkSession, tables: Tables, run_id: str, ended_at: Column | None = None,
+              suites: dict[str, quality.Suite] | None = None) -> dict[str, DataFrame]:
+    """The batch layer over one snapshot of the lake, up to the cutoff that fits it; {} before the first stream."""
+    snapshot = Snapshot.take(spark, tables)
+    cutoff = snapshot.cutoff()
+    if cutoff is None:
+        return {}
+    return batch_layer(snapshot.lake(), tables.root, run_id, _literal(cutoff), ended_at, suites)
+
+
 def read_batch(spark: SparkSession, root: str, view: str) -> DataFrame:
     """The released run of a batch view."""
     return read_view(spark, batch_view_path(root, view), BATCH_VIEWS[view])
@@ -117,12 +147,13 @@ def speed_layer(spark: SparkSession, feed: str, root: str, topic: Topic | None =
                 every: str | None = None, files_per_trigger: int | None = None,
                 stamp_with: Column | None = None,
                 messages_per_trigger: int | None = None) -> Tables:
-    """Watched folder to topic, topic to lake and speed views; what is unreadable to quarantine.
+    """Watched folder to topic, topic to lake, speed views and (what is unreadable) quarantine, in one stream.
 
     ``files_per_trigger`` paces the feed; ``messages_per_trigger`` bounds a micro-batch of
     the topic in its own unit (offsets of a broker, files of a folder). With
     ``every=None`` everything present is processed, then the queries end; otherwise
-    they run until stopped (``spark.streams.active``).
+    they run until stopped (``spark.streams.active``); one that will not be started again is retired
+    (:func:`retire_stream`).
     """
     topic = topic or Topic.folder(f"{root}/topic")
     tables = Tables(root)
@@ -131,13 +162,11 @@ def speed_layer(spark: SparkSession, feed: str, root: str, topic: Topic | None =
         f"{root}/checkpoints/publish", every)
     if every is None:
         feeding.awaitTermination()
-    ingest = run_ingest(
-        spark, topic, tables, f"{root}/checkpoints/ingest", stamp_with, every, messages_per_trigger)
-    refused = run_quarantine(
-        spark, topic, f"{root}/quarantine", f"{root}/checkpoints/quarantine", every)
+    checkpoint = f"{root}/checkpoints/ingest"
+    ingest = run_ingest(spark, topic, tables, checkpoint, stamp_with, every, messages_per_trigger)
     if every is None:
         ingest.awaitTermination()
-        refused.awaitTermination()
+        CommitLog(spark, root).close_stream(checkpoint)  # until it is started again
     return tables
 
 
@@ -159,6 +188,9 @@ class Views:
             v: df.agg(F.max(F.col("started_at").cast("date")).alias("d")).first().d
             for v, df in batch.items()}
         tables = Tables(root)
+        if CommitLog(spark, root).exists():  # the same micro-batches in all views
+            snapshot = Snapshot.take(spark, tables)
+            return cls(batch, {v: snapshot.speed(v, first[v]) for v in SPEED_VIEWS})
         return cls(batch, {v: read_speed(spark, tables, v, first[v]) for v in SPEED_VIEWS})
 
 
@@ -222,14 +254,15 @@ def retrain(lake: DataFrame, last: Column, until: Column,
             alpha: float = regression.FINAL_ALPHA, path: str | None = None) -> DataFrame:
     """Fit the final model on the sales of a window and score it on the held-out part.
 
-    Returns (model, train_rows, test_rows, explained_variance, mape); saves the
-    model to ``path``, with all that its features have learnt (see :func:`score`).
+    Returns (model, train_rows, test_rows, explained_variance, mape); with ``path`` the model and all that
+    its features have learnt become the next version there, both or none (see :func:`score`).
     """
+    spark = lake.sparkSession
+    begun_at = latest(spark, f"{path}/versions")[0] if path else 0
     train, test, stats = _learnt_frames(read_since(lake, last, until))
     model = regression.fit(train, features.FEATURES, features.LABEL, regression.lasso(alpha))
     if path:
-        regression.save(model, path)
-        features.save_features(lake.sparkSession, stats, f"{path}/features")
+        release_model(spark, path, model, stats, begun_at)
     scored = regression.predict(model, test, features.FEATURES)
     y, p = F.col(features.LABEL), F.col(regression.PREDICTION)
     return scored.agg(
@@ -240,17 +273,34 @@ def retrain(lake: DataFrame, last: Column, until: Column,
         regression.mape(y, p).alias("mape"))
 
 
+def release_model(spark: SparkSession, path: str, model: LinearRegressionModel, stats: features.FeatureStats,
+                  after: int) -> int:
+    """Write a model and its features to a folder of their own, then make that the version after ``after``."""
+    attempt = uuid.uuid4().hex
+    regression.save(model, f"{path}/runs/{attempt}")
+    features.save_features(spark, stats, f"{path}/runs/{attempt}/features")
+    return publish_version(spark, f"{path}/versions", {"run": attempt}, after)
+
+
+def model_folder(spark: SparkSession, path: str) -> str:
+    """Where the newest version of a model lies; ``path`` itself if it holds a model without versions."""
+    version = latest(spark, f"{path}/versions")[1]
+    return f"{path}/runs/{version['run']}" if version else path
+
+
 def score(path: str, sales: DataFrame, stats: features.FeatureStats | None = None) -> DataFrame:
-    """Apply a model that :func:`retrain` has saved to sales.
+    """Apply the newest model that :func:`retrain` has released to sales.
 
-    The features come from what was saved with it; ``stats`` replaces that.
+    Model and features are of one version; ``stats`` replaces the features' part.
     """
-    stats = stats or features.load_features(sales.sparkSession, f"{path}/features")
+    folder = model_folder(sales.sparkSession, path)
+    stats = stats or features.load_features(sales.sparkSession, f"{folder}/features")
     frame = features.feature_frame(sales, stats, "serial_number")
-    return regression.predict(regression.load(path), frame, features.FEATURES)
+    return regression.predict(regression.load(folder), frame, features.FEATURES)
 
 
 __all__ = [
-    "prepare", "closed_cutoff", "batch_layer", "read_batch", "read_totals_history", "speed_layer", "Views",
-    "panels", "model_frames", "retrain", "score", "read_lake", "BATCH_VIEWS",
+    "prepare", "closed_cutoff", "retire_stream", "batch_layer", "run_batch", "read_batch", "read_totals_history",
+    "speed_layer", "Views", "panels", "model_frames", "retrain", "release_model", "model_folder", "score",
+    "read_lake", "BATCH_VIEWS", "Snapshot", "compact", "sweep",
 ]

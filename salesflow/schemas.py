@@ -47,6 +47,9 @@ WIRE = T.StructType([
 
 LAKE = T.StructType(SALE.fields + [T.StructField("created_at", _NTZ, True)])
 
+# A message that could not be read in full; ``dropped``: nothing of it is in the lake.
+QUARANTINE = _struct(value=_STRING, dropped=T.BooleanType(), created_at=_NTZ)
+
 BATCH_BY_PROPERTY_TYPE = _struct(
     property_type=_STRING, total_customer=_LONG, started_at=_NTZ, ended_at=_NTZ)
 BATCH_BY_TOWN = _struct(town=_STRING, total_customer=_LONG, started_at=_NTZ, ended_at=_NTZ)

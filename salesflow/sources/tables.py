@@ -6,12 +6,12 @@ import uuid
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from salesflow import schemas
+from salesflow.sources.log import latest, publish
 
 
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None,
@@ -96,6 +96,34 @@ def read_appended(spark: SparkSession, path: str, schema: T.StructType,
     return reader.option("basePath", path).parquet(*folders)
 
 
+MERGED = "_merged"  # the folder, in place of a stream's, of rows of several micro-batches
+_ORIGIN = [T.StructField("from_stream", T.StringType(), True), T.StructField("from_batch", T.LongType(), True)]
+
+
+def write_merged(df: DataFrame, path: str, schema: T.StructType, unit: int,
+                 first_by: tuple[str, ...] = ()) -> None:
+    """Rows of :func:`read_appended` as one unit: few files per date, each row with its stream and batch."""
+    (
+        df.select(*schema.names, F.col("stream").alias("from_stream"), F.col("batch_id").alias("from_batch"),
+                  "created_date")
+        .withColumns({"stream": F.lit(MERGED), "batch_id": F.lit(unit).cast("long")})
+        .hint("rebalance", *[F.col(c) for c in (*first_by, "created_date")])
+        .write.mode("append").partitionBy(*first_by, "created_date", "stream", "batch_id").parquet(path)
+    )
+
+
+def read_merged_too(spark: SparkSession, path: str, schema: T.StructType, live: Column,
+                    since: date | None = None) -> DataFrame:
+    """The rows whose folder satisfies ``live``, a condition on the partition columns, so that others aren't read.
+
+    Merged rows come with the stream and batch they were stored by.
+    """
+    rows = read_appended(spark, path, T.StructType(schema.fields + _ORIGIN), since).filter(live)
+    return rows.select(*schema.names, "created_date",
+                       F.coalesce("from_stream", "stream").alias("stream"),
+                       F.coalesce("from_batch", "batch_id").alias("batch_id"))
+
+
 def date_folders(spark: SparkSession, path: str) -> list[str]:
     """The date folders of a table: one name per day."""
     pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/created_date=*")
@@ -132,51 +160,40 @@ def read_since(df: DataFrame, last: Column, now: Column) -> DataFrame:
 
 # --- published views -------------------------------------------------------
 #
-# A view is a folder of runs, and a small append-only table of the runs that
-# were released. A run that fails its checks stays unreleased; readers see the
-# last released one throughout.
-
-_RELEASES = T.StructType([
-    T.StructField("run_id", T.StringType()),
-    T.StructField("attempt", T.StringType()),
-    T.StructField("released_at", T.TimestampType()),
-])
+# A view is a folder of runs and the numbered versions of what was released. A run that
+# fails its checks stays unreleased; readers see the last released one throughout.
 
 
 def run_path(view: str, run_id: str, attempt: str) -> str:
     return f"{view}/runs/{run_id}/{attempt}"
 
 
-def release(spark: SparkSession, view: str, run_id: str, attempt: str) -> None:
-    """Make a written run the one that readers see. A view has one writer at a time."""
-    spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.lit(attempt).alias("attempt"),
-        F.current_timestamp().alias("released_at")
-    ).write.mode("append").parquet(f"{view}/releases")
+def release(spark: SparkSession, view: str, run_id: str, attempt: str, after: int) -> int:
+    """Make a written run the version that follows ``after``.
+
+    The number decides, not a clock: of two writers that began at the same version one wins, the
+    other gets :class:`salesflow.sources.log.Conflict` and has changed nothing.
+    """
+    return publish(spark, f"{view}/versions", {"run_id": run_id, "attempt": attempt}, after)
 
 
-def _last_release(spark: SparkSession, view: str) -> Row | None:
-    try:
-        releases = spark.read.schema(_RELEASES).parquet(f"{view}/releases")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return releases.agg(F.max_by(F.struct("run_id", "attempt"), "released_at").alias("r")).first().r
+def released_version(spark: SparkSession, view: str) -> tuple[int, dict | None]:
+    """(number, run) of the newest version; (0, None) before the first."""
+    return latest(spark, f"{view}/versions")
 
 
 def released_run(spark: SparkSession, view: str) -> str | None:
     """Id of the run released last; None before the first."""
-    last = _last_release(spark, view)
-    return last.run_id if last else None
+    run = released_version(spark, view)[1]
+    return run["run_id"] if run else None
 
 
 def read_view(spark: SparkSession, view: str, schema: T.StructType) -> DataFrame:
     """The released run of a view; no rows before the first."""
-    last = _last_release(spark, view)
-    if last is None:
+    run = released_version(spark, view)[1]
+    if run is None:
         return empty(spark, schema)
-    return spark.read.schema(schema).parquet(run_path(view, last.run_id, last.attempt))
+    return spark.read.schema(schema).parquet(run_path(view, run["run_id"], run["attempt"]))
 
 
 def publish_view(df: DataFrame, view: str, run_id: str, schema: T.StructType,
@@ -185,13 +202,15 @@ def publish_view(df: DataFrame, view: str, run_id: str, schema: T.StructType,
 
     ``check`` raises to refuse the run; the previous one then stays visible. Every
     attempt has a folder of its own: a run that is tried again under the same id
-    never touches what was released, nor the files of running readers.
+    never touches what was released, nor the files of running readers. A run is released only
+    over the version that was the newest when it began.
     """
     spark, attempt = df.sparkSession, uuid.uuid4().hex
+    begun_at, _ = released_version(spark, view)
     path = run_path(view, run_id, attempt)
     schemas.conform(df, schema).write.parquet(path)
     written = spark.read.schema(schema).parquet(path)
     if check:
         check(written)
-    release(spark, view, run_id, attempt)
+    release(spark, view, run_id, attempt, begun_at)
     return written
