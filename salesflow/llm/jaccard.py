@@ -21,8 +21,9 @@ lies within one component already.
 
 Defined results: null and empty texts, and texts without words, have an empty set and no link;
 fewer words than a shingle's are one shingle; repeated rows are rows of their own with the same set;
-only doc_id and text are read. Shingles and nodes are 64-bit hashes; nodes are checked against a
-second 64-bit hash, and a clash stops the job with an error instead of a wrong result.
+only doc_id and text are read. Shingles are 64-bit hashes. Nodes are, too, and are checked against a second
+64-bit hash: of sets that share a node, those with another check get one made of both (:class:`Clashes`).
+Long texts are scanned in windows, and the groups in which overlaps are counted are sized by their shingles.
 """
 
 from __future__ import annotations
@@ -31,20 +32,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.components import components
-from salesflow.llm.textscan import lower_table, mix, padded, pieces, runs, span_hashes
+from salesflow.llm.textscan import PIECE_BYTES, lower_table, mix, padded, pieces, runs, span_hashes
 from salesflow.session import stage
 
-HOT_BLOCK = 2_000_000  # shingles in which frequent ones are counted at once
+HOT_BLOCK = 1_000_000  # shingles in which frequent ones are counted at once
 HOT_LEAST = 16  # documents of a block that make a shingle frequent
 LIST_MOST = 32  # prefixes that may share a shingle before it counts as frequent
 HOT_KEPT = 1 << 18  # frequent shingles that go last in the global order
-GROUP_ENTRIES = 400_000  # prefix entries of one fragment
+GROUP_ENTRIES = 250_000  # prefix entries of one fragment
 FRAGMENTS = 4  # of the order, in which the overlaps of a pair are counted
-GROUP_PAIRS = 2_000
+GROUP_SHINGLES = 1_000_000  # of the sets of a group's pairs, in all fragments
+MOST_CLASHES = 100_000  # 64-bit keys shared by different sets; n sets have n * n / 2 ** 65
+WINDOW_WORDS = 1 << 17  # words of a long text whose shingles are made at once
 BITS = 1 << 24  # of the map that thins out sets before the shuffle; any size is right
 
 _LOWER = lower_table()
@@ -53,27 +57,61 @@ _LOWER = lower_table()
 def shingle_sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
     for _, part in pieces(texts):
+        if len(part) == 1 and (pc.binary_length(part)[0].as_py() or 0) > PIECE_BYTES:
+            yield _shingles(_long_words(part), size)
+            continue
         data, borders = padded(part)
         symbols = _LOWER[data]
         starts, ends = runs(symbols != 0x20)
         words = span_hashes(symbols, starts, ends)
         bounds = np.searchsorted(starts, borders)
-        rolled = np.zeros(0, np.uint64)
-        if len(words) >= size:
-            rolled = words[:len(words) - size + 1].copy()
-            for k in range(1, size):
-                rolled = mix(rolled) + words[k:len(words) - size + 1 + k]
-            rolled = mix(rolled)
+        rolled = _rolled(words, size)
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            if b - a >= size:
-                yield np.unique(rolled[a:b - size + 1])
-            elif b > a:
-                whole = np.full(1, b - a, np.uint64)
-                for word in words[a:b]:
-                    whole = mix(whole) + word
-                yield mix(whole)
-            else:
-                yield np.zeros(0, np.uint64)
+            yield np.unique(rolled[a:b - size + 1]) if b - a >= size else _shingles(words[a:b], size)
+
+
+def _rolled(words: np.ndarray, size: int) -> np.ndarray:
+    """The hash of the ``size`` words from each word on."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    rolled = words[:len(words) - size + 1].copy()
+    for k in range(1, size):
+        rolled = mix(rolled)
+        rolled += words[k:len(words) - size + 1 + k]
+    return mix(rolled)
+
+
+def _shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """The set of one text; fewer words than ``size`` are one shingle."""
+    if len(words) >= size:
+        parts = [np.unique(_rolled(words[a:a + WINDOW_WORDS + size - 1], size))
+                 for a in range(0, len(words) - size + 1, WINDOW_WORDS)]
+        return np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    whole = np.full(1, len(words), np.uint64)
+    for word in words:
+        whole = mix(whole) + word
+    return mix(whole)
+
+
+def _long_words(text: pa.Array) -> np.ndarray:
+    """The word hashes of one long text, window by window; windows end behind a blank."""
+    (raw,) = text.cast(pa.large_string())
+    data = np.frombuffer(raw.as_buffer(), np.uint8)
+    found, a = [], 0
+    while a < len(data):
+        b = len(data)
+        for end in range(a + PIECE_BYTES, len(data), PIECE_BYTES):  # a word may be longer than a window
+            blanks = np.flatnonzero(_LOWER[data[end - PIECE_BYTES:end]] == 0x20)
+            if len(blanks):
+                b = end - PIECE_BYTES + int(blanks[-1]) + 1
+                break
+        symbols = np.full(b - a + 2, 0x20, np.uint8)
+        symbols[1:-1] = _LOWER[data[a:b]]
+        found.append(span_hashes(symbols, *runs(symbols != 0x20)))
+        a = b
+    return np.concatenate(found)
 
 
 def set_key(shingles: np.ndarray) -> tuple[int, int]:
@@ -85,6 +123,36 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
     return int(one.view(np.int64)[0]), int(two.view(np.int64)[0])
 
 
+class Clashes:
+    """The nodes that different sets share, each with the check of the set that keeps it."""
+
+    def __init__(self, kept: dict[int, int]) -> None:
+        self.kept = kept
+
+    @classmethod
+    def of(cls, sets: DataFrame) -> Clashes:
+        """Of stored rows (node, check, n). They are few: about n * n / 2 ** 65 for n different sets."""
+        rows = (sets.filter("n > 0").groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi"))
+                .filter("lo <> hi").select("node", "lo").limit(MOST_CLASHES + 1).collect())
+        if len(rows) > MOST_CLASHES:
+            raise RuntimeError("more sets share a 64-bit key than any corpus explains")
+        return cls({r.node: r.lo for r in rows})
+
+    def node(self, key: tuple[int, int]) -> int:
+        """The node of a set with this key."""
+        node, check = key
+        return node if self.kept.get(node, check) == check else node ^ check
+
+    def nodes(self, sets: DataFrame) -> DataFrame:
+        """Stored rows (doc_id, node, check, n) with the nodes that :meth:`node` gives."""
+        if not self.kept:
+            return sets
+        kept = sets.sparkSession.createDataFrame(list(self.kept.items()), "node long, kept long")
+        joined = sets.join(kept, "node", "left")
+        return joined.withColumn("node", F.when(F.col("kept") != F.col("check"), F.col("node").bitwiseXOR(F.col("check")))
+                                 .otherwise(F.col("node"))).drop("kept")
+
+
 def need_of(n: np.ndarray, percent: int) -> np.ndarray:
     """The overlap that a set of n shingles needs with any set similar to it."""
     return -(-n * percent // 100)
@@ -153,8 +221,8 @@ def _prefix(shingles: np.ndarray, hot: np.ndarray, hot_rank: np.ndarray, percent
     return np.concatenate([cold, hot[often]]), np.arange(length) >= len(cold)
 
 
-def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int, nodes: bool
-                 ) -> DataFrame:
+def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int, nodes: bool,
+                 clashes: Clashes) -> DataFrame:
     """(fragment, entries): the packed prefix entries of every set, the frequent ones apart.
 
     An entry is (shingle, node, n, place), or without ``nodes`` the shingle alone.
@@ -194,7 +262,7 @@ def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percen
             for shingles in shingle_sets(batch.column(0), size):
                 if not len(shingles):
                     continue
-                node = set_key(shingles)[0]
+                node = clashes.node(set_key(shingles))
                 if node in seen:
                     continue
                 seen.add(node)
@@ -209,8 +277,8 @@ def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percen
     return docs.select("text").mapInArrow(task, "fragment bigint, entries binary")
 
 
-def frequent_in_prefixes(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int
-                         ) -> DataFrame:
+def frequent_in_prefixes(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int,
+                         clashes: Clashes) -> DataFrame:
     """Stored: (shingle, n) of ``hot``, and of the shingles in more than LIST_MOST prefixes."""
     def count(rows: pa.Table) -> pa.Table:
         entries = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64) for p in rows.column("entries")])
@@ -218,12 +286,13 @@ def frequent_in_prefixes(docs: DataFrame, hot: DataFrame, groups: int, size: int
         often = counts > LIST_MOST
         return pa.table({"shingle": found[often].view(np.int64), "n": counts[often].astype(np.int64)})
 
-    rows = _prefix_rows(docs, hot, groups, size, percent, nodes=False).filter(F.col("fragment") < groups)
+    rows = _prefix_rows(docs, hot, groups, size, percent, False, clashes).filter(F.col("fragment") < groups)
     more = rows.groupBy("fragment").applyInArrow(count, "shingle bigint, n bigint")
     return stage(hot.union(more).orderBy(F.desc("n"), "shingle").limit(HOT_KEPT), "frequent-shingles")
 
 
-def prefix_lists(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int) -> DataFrame:
+def prefix_lists(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int,
+                 clashes: Clashes) -> DataFrame:
     """Stored: (shingle, node, n, place) of every prefix shingle that two nodes may share."""
     def gather(rows: pa.Table) -> pa.Table:
         parts = [_unpacked(p.as_py()) for p in rows.column("entries")]
@@ -238,7 +307,7 @@ def prefix_lists(docs: DataFrame, hot: DataFrame, groups: int, size: int, percen
             shingle, node, n, place = (x[keep] for x in (shingle, node, n, place))
         return pa.table({"shingle": shingle.view(np.int64), "node": node, "n": n, "place": place})
 
-    rows = _prefix_rows(docs, hot, groups, size, percent, nodes=True)
+    rows = _prefix_rows(docs, hot, groups, size, percent, True, clashes)
     return stage(rows.groupBy("fragment").applyInArrow(
         gather, "shingle bigint, node bigint, n int, place int"), "prefix-lists")
 
@@ -319,24 +388,25 @@ def plausible(pairs: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     both = pairs.join(a, "a").join(b, "b")
     kept = both.filter(F.size(F.array_intersect("s_a", "s_b")) + beyond >= need)
-    return stage(kept.select("a", "b"), "candidates")
+    return stage(kept.select("a", "b", (F.col("n_a") + F.col("n_b")).cast("long").alias("weight")), "candidates")
 
 
-def settle(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+def settle(docs: DataFrame, pairs: DataFrame, size: int, percent: int, clashes: Clashes) -> DataFrame:
     """Stored: (a, b, overlap, n_a, n_b) of the ``pairs`` (stored) that reach the similarity."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     bits = docs.sparkSession.sparkContext.broadcast(np.packbits(_bit_map(nodes)))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(bits.value).astype(bool)
+        wanted = bits.value
         seen: set[int] = set()
         for batch in batches:
             out: list[tuple] = []
             for shingles in shingle_sets(batch.column(0), size):
                 if not len(shingles):
                     continue
-                node = set_key(shingles)[0]
-                if node in seen or not wanted[node % BITS]:
+                node = clashes.node(set_key(shingles))
+                spot = node % BITS
+                if node in seen or not wanted[spot >> 3] >> (7 - (spot & 7)) & 1:
                     continue
                 seen.add(node)
                 cuts = np.searchsorted(shingles >> np.uint64(62), np.arange(FRAGMENTS + 1))
@@ -348,12 +418,12 @@ def settle(docs: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFr
                         pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
                     names=["node", "fragment", "n", "shingles"])
 
-    # each pair is settled where its first node's set is; a node with many pairs is split
-    degree = pairs.groupBy("a").agg(F.count("*").alias("k"))
-    total = pairs.count()
-    groups = total // GROUP_PAIRS + 1
-    split = pairs.join(degree, "a").withColumn("salt", F.when(
-        F.col("k") > GROUP_PAIRS, F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / GROUP_PAIRS)))
+    # each pair is settled where its first node's set is; a node whose pairs are many or large is split
+    load = pairs.groupBy("a").agg(F.sum("weight").alias("load"))
+    total = load.agg(F.sum("load")).first()[0] or 0
+    groups = total // GROUP_SHINGLES + 1
+    split = pairs.join(load, "a").withColumn("salt", F.when(
+        F.col("load") > GROUP_SHINGLES, F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / GROUP_SHINGLES)))
         .otherwise(0))
     split = split.select("a", "b", F.pmod(F.xxhash64("a", "salt"), F.lit(groups)).alias("bucket"))
     split = stage(split, "split-pairs")
@@ -401,25 +471,23 @@ def similar_sets(docs: DataFrame, size: int = 5, percent: int = 80, all_links: b
     The links connect every component; with ``all_links`` they are all links.
     """
     sets, hot = document_sets(docs, size)
-    clash = (sets.filter("n > 0").groupBy("node").agg(
-        F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi"))
-    if not clash.isEmpty():
-        raise RuntimeError("two different shingle sets have the same 64-bit key")
+    clashes = Clashes.of(sets)
+    sets = clashes.nodes(sets)
     members = sets.select("doc_id", F.when(F.col("n") > 0, F.col("node")).alias("node"), "n")
     entries = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
     groups = int(entries // GROUP_ENTRIES) + 1
-    hot = frequent_in_prefixes(docs, hot, groups, size, percent)
-    lists = prefix_lists(docs, hot, groups, size, percent)
+    hot = frequent_in_prefixes(docs, hot, groups, size, percent, clashes)
+    lists = prefix_lists(docs, hot, groups, size, percent, clashes)
     prefixes = node_prefixes(lists)
     if all_links:
         every = _pairs(lists.alias("x").join(lists.alias("y"), "shingle").filter(
             (F.col("x.node") < F.col("y.node")) & _room(percent)))
-        return members, settle(docs, plausible(every, prefixes, percent), size, percent)
+        return members, settle(docs, plausible(every, prefixes, percent), size, percent, clashes)
     star = stage(star_candidates(lists, percent), "star-candidates")
-    links = settle(docs, plausible(star, prefixes, percent), size, percent)
+    links = settle(docs, plausible(star, prefixes, percent), size, percent, clashes)
     cross = cross_candidates(lists, components(links), percent)
     cross = plausible(cross.join(star, ["a", "b"], "left_anti"), prefixes, percent)
-    return members, links.union(settle(docs, cross, size, percent))
+    return members, links.union(settle(docs, cross, size, percent, clashes))
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -13,7 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
+HASH_BYTES = 1 << 17  # symbols whose spans are hashed at once
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -67,20 +68,49 @@ def runs(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power(count: int, base: int) -> np.ndarray:
+    """The first powers of a base, at most ``HASH_BYTES`` and one of them."""
     have = _powers.get(base)
-    if have is None or len(have) < count:
-        size = max(count, 1 << 16)
-        steps = np.full(size, base, np.uint64)
+    if have is None:
+        steps = np.full(HASH_BYTES + 1, base, np.uint64)
         steps[0] = 1
         have = _powers[base] = np.multiply.accumulate(steps)
     return have[:count]
 
 
 def span_hashes(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of symbols: a polynomial, then mixed with the length."""
+    """A 64-bit hash of each span of symbols: a polynomial, then mixed with the length.
+
+    Spans come in order and don't overlap. They are hashed in blocks of ``HASH_BYTES``, so what is
+    needed beside the result does not grow with the symbols, nor with the longest span.
+    """
+    found = np.empty(len(starts), np.uint64)
+    first = 0
+    while first < len(starts):
+        begin = int(starts[first])
+        last = int(np.searchsorted(ends, begin + HASH_BYTES, side="right"))
+        if last <= first:
+            found[first] = _long_sum(symbols, begin, int(ends[first]))
+            last = first + 1
+        else:
+            found[first:last] = _sums(symbols[begin:int(ends[last - 1])], starts[first:last] - begin,
+                                      ends[first:last] - begin)
+        first = last
+    return mix(found + mix((ends - starts).astype(np.uint64)))
+
+
+def _sums(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     terms = (symbols.astype(np.uint64) + np.uint64(1)) * _power(len(symbols), _BASE)
     sums = np.empty(len(symbols) + 1, np.uint64)
     sums[0] = 0
     np.cumsum(terms, out=sums[1:])
-    shifted = (sums[ends] - sums[starts]) * _power(len(symbols) + 1, _INVERSE)[starts]
-    return mix(shifted + mix((ends - starts).astype(np.uint64)))
+    return (sums[ends] - sums[starts]) * _power(len(symbols) + 1, _INVERSE)[starts]
+
+
+def _long_sum(symbols: np.ndarray, start: int, end: int) -> np.uint64:
+    """The polynomial of one span that is longer than a block."""
+    total = 0
+    for a in range(start, end, HASH_BYTES):
+        part = symbols[a:min(a + HASH_BYTES, end)]
+        whole = _sums(part, np.zeros(1, np.int64), np.full(1, len(part)))
+        total += int(whole[0]) * pow(_BASE, a - start, 1 << 64)
+    return np.uint64(total & ((1 << 64) - 1))

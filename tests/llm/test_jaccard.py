@@ -1,9 +1,17 @@
 """Links and components against all pairs."""
 
+import os
+import subprocess
+import sys
+
 import numpy as np
+import pyarrow as pa
 
-from salesflow.llm import jaccard
+from salesflow.llm import jaccard, textscan
 from salesflow.llm.components import components
+from salesflow.llm.textscan import PIECE_BYTES
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def shingles(text):
@@ -88,3 +96,60 @@ def test_long_chain(spark):
     links = spark.range(300).selectExpr("(id * 7919) % 1000003 AS a", "((id + 1) * 7919) % 1000003 AS b")
     found = components(links).select("component").distinct().collect()
     assert [r[0] for r in found] == [0]
+
+
+def test_sets_that_share_a_key_stay_apart(spark):
+    docs = corpus(8)[:80]
+    keys = [jaccard.set_key(s) for s in jaccard.shingle_sets(pa.array([t for _, t in docs]), 5)]
+    other = (keys[0][0], keys[0][1] + 1)
+    kept = jaccard.Clashes({keys[0][0]: keys[0][1]})
+    assert kept.node(keys[0]) == keys[0][0] and kept.node(other) == other[0] ^ other[1] and kept.node(keys[-1]) == keys[-1][0]
+    rows = spark.createDataFrame([(1, *keys[0], 3), (2, *other, 3), (3, *keys[-1], 3), (4, 0, 0, 0), (5, 0, 1, 0)],
+                                 "doc_id long, node long, check long, n long")
+    found = jaccard.Clashes.of(rows)
+    assert found.kept == {keys[0][0]: min(keys[0][1], other[1])}
+    assert {(r.doc_id, r.node) for r in found.nodes(rows).collect()} == {
+        (1, found.node(keys[0])), (2, found.node(other)), (3, keys[-1][0]), (4, 0), (5, 0)}
+
+
+def test_a_long_text_has_the_set_of_its_parts():
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in rng.integers(0, 90_000, 400_000)] + ["x" * 3_000_000] + ["end", "of", "it"] * 4
+    long = "\t".join(words)
+    (got,) = jaccard.shingle_sets(pa.array([long]), 5)
+    assert len(long) > 2 * PIECE_BYTES and len(got) == len({tuple(words[i:i + 5]) for i in range(len(words) - 4)})
+    short = " ".join(words[:50])
+    (some,) = jaccard.shingle_sets(pa.array([short]), 5)
+    assert set(some.tolist()) <= set(got.tolist())
+    (lone,) = jaccard.shingle_sets(pa.array([" " + "y" * 2_500_000 + " "]), 5)
+    assert len(lone) == 1
+
+
+def test_hashes_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(2)
+    data = rng.integers(0, 256, 5000).astype(np.uint8)
+    cuts = np.unique(rng.integers(0, 5000, 120))
+    starts, ends = cuts[:-1], cuts[1:]
+    plain = [sum((int(c) + 1) * pow(textscan._BASE, i, 1 << 64) for i, c in enumerate(data[a:b])) % (1 << 64)
+             for a, b in zip(starts, ends)]
+    want = textscan.mix(np.array(plain, np.uint64) + textscan.mix((ends - starts).astype(np.uint64)))
+    for size in (1, 10, 64, 1 << 17):
+        monkeypatch.setattr(textscan, "HASH_BYTES", size)
+        monkeypatch.setattr(textscan, "_powers", {})
+        assert np.array_equal(textscan.span_hashes(data, starts, ends), want)
+
+
+def test_memory_of_a_very_long_text():
+    """A text of 31 MB takes a worker less than 400 MB, beyond what the text itself and the imports take."""
+    code = """
+import resource, numpy as np, pyarrow as pa
+from salesflow.llm import jaccard
+text = pa.array([" ".join(f"w{i}" for i in np.random.default_rng(1).integers(0, 10 ** 6, 4_000_000))])
+size = text.nbytes
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+(found,) = jaccard.shingle_sets(text, 5)
+print(size, len(found), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT)
+    size, found, grown = map(int, out.stdout.split())
+    assert size > 27_000_000 and found > 3_900_000 and grown < 400
