@@ -11,7 +11,10 @@ every score of a block. Blocks are visited from the highest bound, and a block i
 queries whose k-th best score so far, carried from shard to shard, does not exceed its bound.
 
 The stated queries go through the index in blocks of bounded size, so neither the queries nor the index are
-ever held whole by one process.
+ever held whole by one process; a task keeps the k best of each query over all its shards and returns them once.
+
+This is block-max pruning without WAND's pivots: queries are whole texts of hundreds of terms, so nearly every
+document has some of them, and moving pivots list by list does more work than bounding all blocks at once.
 
 Defined results: words as in :mod:`salesflow.llm.decontamination`; texts without words match nothing
 and count in the averages with length 0; a query term counts as often as it occurs in the query; scores are
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,6 +142,7 @@ class Shard:
         norm = K1 * (1 - B + B * length / average) if average else np.full(self.n, K1)
         self.gain = tf * (K1 + 1) / (tf + norm[self.docs])
         self.blocks = -(-self.n // BLOCK)
+        self.scored = 0  # blocks that a query was scored in
         often = np.flatnonzero(self.ends - begins > max(self.n // FREQUENT, 8))
         self.row_of = np.full(len(self.terms), -1)
         self.row_of[often] = np.arange(len(often))
@@ -194,6 +199,7 @@ def search_shard(shard: Shard, queries: list[tuple[np.ndarray, np.ndarray]], bes
             span = slice(b * BLOCK, (b + 1) * BLOCK)
             score[who, span] += weights[who] @ dense[:, span]
             scored[who, b] = True
+            shard.scored += len(who)
             both = np.concatenate([top[who], score[who, span]], axis=1)
             top[who] = np.sort(np.partition(both, -k, axis=1)[:, -k:], axis=1)
         best[first:first + BATCH] = list(top)
@@ -215,7 +221,8 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     n_docs, n_words = totals[0] or 0, totals[1] or 0
     blocks = int((asked.agg(F.sum("size")).first()[0] or 0) // QUERY_TERMS) + 1
     spot = F.pmod(F.xxhash64("query_id", "terms"), F.lit(blocks))
-    lists = [_block_lists(index, asked.filter(spot == b), n_docs, n_words, k) for b in range(blocks)]
+    counts = document_frequencies(index)
+    lists = [_block_lists(index, counts, asked.filter(spot == b), n_docs, n_words, k) for b in range(blocks)]
     merged = lists[0]
     for more in lists[1:]:
         merged = merged.union(more)
@@ -225,51 +232,94 @@ def top_k(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
             .select("query_id", "rank", "doc_id", "score"))
 
 
-def _block_lists(index: DataFrame, asked: DataFrame, n_docs: int, n_words: int, k: int) -> DataFrame:
-    """The shards' lists for one block of queries, stored."""
+def document_frequencies(index: DataFrame) -> DataFrame:
+    """Stored: (term, df) of all terms of the corpus, from one pass over the shards."""
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, b, size in zip(*batch.columns, strict=True):
+                terms = np.frombuffer(t.as_buffer(), np.uint64)
+                begins = np.frombuffer(b.as_buffer(), np.uint32).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(terms.view(np.int64)), pa.array(np.diff(np.append(begins, size.as_py() // 2)))],
+                    names=["term", "n"])
+
+    spread = index.select("terms", "begins", F.octet_length("docs").cast("bigint").alias("size"))
+    return stage(spread.mapInArrow(counted, "term bigint, n bigint").groupBy("term").agg(
+        F.sum("n").alias("df")), "search-frequencies")
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for terms in batch.column(0):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(terms.as_buffer(), np.int64))], names=["term"])
+
+
+class Best:
+    """The k best documents of each query, over all shards of a task."""
+
+    def __init__(self, queries: int, k: int, kind: pa.DataType) -> None:
+        self.k = k
+        self.held = [pa.table({"doc_id": pa.array([], kind), "score": pa.array([], pa.float64())})] * queries
+
+    def add(self, query: int, docs: pa.Array, scores: np.ndarray) -> None:
+        if len(docs):
+            both = pa.concat_tables([self.held[query], pa.table({"doc_id": docs, "score": pa.array(scores)})])
+            if len(both) > self.k:
+                order = pc.sort_indices(both, sort_keys=[("score", "descending"), ("doc_id", "ascending")],
+                                        null_placement="at_start")
+                both = both.take(order[:self.k])
+            self.held[query] = both
+
+    def rows(self, names: pa.Array) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        query = np.repeat(np.arange(len(self.held)), [len(t) for t in self.held])
+        both = pa.concat_tables(self.held).combine_chunks()
+        for a in range(0, len(query), 50_000):
+            some, part = pa.array(query[a:a + 50_000]), both.slice(a, 50_000)
+            yield pa.RecordBatch.from_arrays(
+                [names.take(some), some, *(c.combine_chunks() for c in part.columns)],
+                names=["query_id", "query", "doc_id", "score"])
+
+
+def _block_lists(index: DataFrame, frequencies: DataFrame, asked: DataFrame, n_docs: int, n_words: int,
+                 k: int) -> DataFrame:
+    """The tasks' lists for one block of queries, stored."""
     context = index.sparkSession.sparkContext
     table = asked.select("query_id", "terms", "counts").toArrow()  # about QUERY_TERMS terms
     terms = [np.frombuffer(t.as_buffer(), np.uint64) for t in table.column("terms")]
     counts = [np.frombuffer(c.as_buffer(), np.uint32) for c in table.column("counts")]
-    known = np.unique(np.concatenate([np.zeros(0, np.uint64), *terms]))
-    wanted = context.broadcast(known)
+    wanted = asked.select("terms").mapInArrow(_exploded, "term bigint").distinct()
+    found = wanted.join(frequencies, "term").toArrow()  # as many rows at most
+    known = np.asarray(found.column("term")).astype(np.int64).view(np.uint64)
+    order = np.argsort(known)
+    known, df = known[order], np.asarray(found.column("df")).astype(np.float64)[order]
+    idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
 
-    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t, b, d in zip(*batch.columns, strict=True):
-                have = np.frombuffer(t.as_buffer(), np.uint64)
-                begin = np.frombuffer(b.as_buffer(), np.uint32).astype(np.int64)
-                n = np.diff(np.append(begin, d.as_py() // 2))
-                common, _, place = np.intersect1d(wanted.value, have, assume_unique=True, return_indices=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.searchsorted(wanted.value, common)), pa.array(n[place])], names=["t", "n"])
+    def weighted(own: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The query's terms that the corpus has, and their weights."""
+        place = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
+        there = known[place] == own if len(known) else np.zeros(len(own), bool)
+        return own[there], idf[place[there]] * n[there]
 
-    spread = index.select("terms", "begins", F.octet_length("docs").cast("bigint").alias("size"))
-    df_table = (spread.mapInArrow(frequencies, "t bigint, n bigint")
-                .groupBy("t").agg(F.sum("n").alias("n")).toArrow())
-    df = np.zeros(len(known))
-    df[np.asarray(df_table.column("t"))] = np.asarray(df_table.column("n"))
-    idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-    vectors = context.broadcast([(t, idf[np.searchsorted(known, t)] * c)
-                                 for t, c in zip(terms, counts, strict=True)])
+    vectors = context.broadcast([weighted(t, c) for t, c in zip(terms, counts, strict=True)])
     names = context.broadcast(table.column("query_id").combine_chunks())
     average = n_words / n_docs if n_docs else 0.0
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = [np.full(k, -np.inf) for _ in vectors.value]
+        held = None
         for batch in batches:
             for row in range(batch.num_rows):
                 cells = {n: batch.column(n)[row] for n in batch.schema.names}
                 shard = Shard({n: c.as_buffer() if pa.types.is_binary(c.type) else
                                c.as_py() if n == "n_docs" else None for n, c in cells.items()}, average)
-                found = search_shard(shard, vectors.value, best, k)
-                query = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
-                doc = np.concatenate([f[0] for f in found] or [np.zeros(0, np.int64)])
-                score = np.concatenate([f[1] for f in found] or [np.zeros(0)])
-                yield pa.RecordBatch.from_arrays(
-                    [names.value.take(pa.array(query)), pa.array(query),
-                     cells["doc_ids"].values.take(pa.array(doc)), pa.array(np.round(score, DIGITS))],
-                    names=["query_id", "query", "doc_id", "score"])
+                ids = cells["doc_ids"].values
+                held = held or Best(len(vectors.value), k, ids.type)
+                for query, (docs, score) in enumerate(search_shard(shard, vectors.value, best, k)):
+                    held.add(query, ids.take(pa.array(docs)), np.round(score, DIGITS))
+        if held:
+            yield from held.rows(names.value)
 
     kinds = [index.schema["doc_ids"].dataType.elementType.simpleString(),
              asked.schema["query_id"].dataType.simpleString()]

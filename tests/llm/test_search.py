@@ -60,12 +60,33 @@ def test_empty_tables(spark):
     assert run(spark, [], [(1, "a")]) == [] and run(spark, [(1, "a")], []) == []
 
 
-def test_blocks_are_skipped():
-    docs = [(i, "common filler " + ("needle " * 3 if i == 70 else "")) for i in range(640)]
+def shard_of(docs):
     batch = pa.record_batch([pa.array([d for d, _ in docs]), pa.array([t for _, t in docs])], names=["doc_id", "text"])
     (made,) = search._shards(iter([batch]))
     cells = {n: made.column(n)[0] for n in made.schema.names}
-    shard = search.Shard({n: c.as_buffer() if pa.types.is_binary(c.type) else c.as_py() for n, c in cells.items()}, 2.0)
-    terms = np.sort(np.concatenate([t for _, _, t, _ in search._words(pa.array(["needle common"]))]))
-    (found,) = search.search_shard(shard, [(terms, np.ones(len(terms)))], [np.full(1, -np.inf)], 1)
-    assert found[0].tolist() == [70]
+    return search.Shard({n: c.as_buffer() if pa.types.is_binary(c.type) else c.as_py() for n, c in cells.items()}, 2.0)
+
+
+def test_blocks_are_skipped():
+    docs = [(i, "common filler " + ("common " * 30 if i // 64 == 1 else "")) for i in range(640)]
+    shard = shard_of(docs)
+    terms = np.sort(np.concatenate([t for _, _, t, _ in search._words(pa.array(["common"]))]))
+    (found,) = search.search_shard(shard, [(terms, np.ones(1))], [np.full(5, -np.inf)], 5)
+    assert set(found[0].tolist()) == set(range(64, 128)) and shard.scored == 1 and shard.blocks == 10
+    found = search.search_shard(shard, [(terms, np.ones(1))], [np.full(5, 99.0)], 5)  # better ones are known
+    assert len(found[0][0]) == 0 and shard.scored == 1
+
+
+def test_frequencies_are_counted_once(spark):
+    docs = [(i, f"c{i % 3} same") for i in range(50)] + [(99, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    counts = search.document_frequencies(search.build_index(df))
+    assert sorted(r.df for r in counts.collect()) == [16, 17, 17, 50]
+
+
+def test_the_best_of_a_task():
+    best = search.Best(2, 3, pa.int64())
+    best.add(0, pa.array([5, None, 7, 1]), np.array([1.0, 1.0, 2.0, 0.5]))
+    best.add(0, pa.array([2, 3]), np.array([1.0, 3.0]))
+    (rows,) = best.rows(pa.array(["a", "b"]))
+    assert list(zip(*(c.to_pylist() for c in rows.columns))) == [("a", 0, 3, 3.0), ("a", 0, 7, 2.0), ("a", 0, None, 1.0)]
