@@ -12,7 +12,7 @@ texts in Arrow tasks, without a shuffle.
 
 Defined results: null and empty texts get the score of a text without features; without labelled
 rows of both kinds every score is the share of toxic labels (0 without any); every input row
-gives one row; a doc_id with several labels counts with each; only doc_id and text are read.
+gives one row; a doc_id with different labels counts with each, repeated labels and repeated rows count once; only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from salesflow.llm.ngrams import grams
+from salesflow.session import stage
 
 SAMPLE_ROWS = 4000
 SIZES = (4, 6, 9)
@@ -129,25 +130,26 @@ def fit(texts: pa.Array, labels: np.ndarray, weights: np.ndarray, least_docs: in
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, **params) -> Model:
-    """Fit on about ``rows`` labelled documents, chosen by a hash of their text.
+    """Fit on about ``rows`` labelled documents, chosen by a hash of their id and text.
 
-    ``docs`` (doc_id, text), ``labels`` (doc_id, toxic): both already without held-out rows.
+    ``docs`` (doc_id, text), ``labels`` (doc_id, toxic): both already without held-out rows. Equal labels of an
+    id count once, and so do equal texts of an id; an id with many texts is as likely as any of them.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select(
-        F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
-    ids = docs.select(F.col("doc_id").alias("__id"))
-    totals = {r["toxic"]: r["n"] for r in known.join(ids, "__id").groupBy("toxic")
-              .agg(F.count("*").alias("n")).collect()}
+        F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("toxic")).distinct()
+    mark = F.xxhash64(F.lit(7), "text").alias("mark")
+    cases = stage(docs.select(F.col("doc_id").alias("id"), mark).distinct().join(known, "id"), "labelled")
+    totals = {r["toxic"]: r["n"] for r in cases.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic_rows = min(rows // 2, totals.get(1, 0))
     share = {1: toxic_rows / max(totals.get(1, 0), 1),
              0: min(1.0, (rows - toxic_rows) / max(totals.get(0, 0), 1))}
-    # chosen by the id, so that only the sample's texts are joined
-    spot = F.pmod(F.xxhash64(F.lit(13), "__id"), F.lit(1 << 30))
+    spot = F.pmod(F.xxhash64(F.lit(13), "id", "mark"), F.lit(1 << 30))
     bound = F.when(F.col("toxic") == 1, int(share[1] * (1 << 30))).otherwise(int(share[0] * (1 << 30)))
-    chosen = known.filter(spot < bound)
-    text = docs.select(F.col("doc_id").alias("__id"), "text")
-    # a broadcast of about ``rows`` ids: no text is shuffled
-    table = text.join(F.broadcast(chosen), "__id").select("text", "toxic").toArrow()
+    chosen = cases.filter(spot < bound).orderBy(spot, "id", "mark", "toxic").limit(2 * rows)
+    text = docs.select(F.col("doc_id").alias("id"), "text", mark)
+    # a broadcast of at most 2 * ``rows`` ids: no text is shuffled but the sample's
+    table = text.join(F.broadcast(chosen), ["id", "mark"]).select("id", "text", "toxic").distinct().select(
+        "text", "toxic").toArrow()
     table = table.take(pc.sort_indices(table, [("text", "ascending"), ("toxic", "ascending")]))
     texts = pa.concat_arrays(table.column("text").chunks) if len(table) else pa.array([], pa.string())
     labels_ = np.asarray(table.column("toxic")).astype(np.int64)
@@ -164,7 +166,9 @@ def score_texts(texts: pa.Array, model: Model) -> np.ndarray:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of ``docs`` and ``__score``, the chance of label 1, for every row."""
+    """All columns of ``docs`` and ``__score``, the chance of label 1, for every row; the name must be free."""
+    if "__score" in docs.columns:
+        raise ValueError("docs has a column __score already")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
     place = docs.columns.index("text")
 

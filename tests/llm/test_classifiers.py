@@ -4,6 +4,7 @@ import os
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from salesflow.llm import langid, toxicity
 from salesflow.llm.queries import QUERIES
@@ -89,3 +90,25 @@ def test_copies_do_not_fill_the_language_sample(spark, monkeypatch):
     assert len(texts) == len(set(texts)) == 1005 and langs.count("en") == sum(held) == 5
     langid.train(df, rows=200)
     assert 140 < len(taken.pop()[0]) < 260
+
+
+def test_a_repeated_id_does_not_take_the_toxic_sample(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, weights: taken.append((texts.to_pylist(), toxic.tolist())))
+    rows = [(i, f"text {i}") for i in range(1000)] + [(5000, f"hot {i % 1500}") for i in range(2000)] + [(None, "no id")]
+    marks = [(i, int(i % 5 == 0)) for i in range(1000)] + [(5000, 0)] * 2000 + [(3, None), (None, 1)]
+    docs = spark.createDataFrame([(d, t, "m") for d, t in rows], "doc_id long, text string, mark string").repartition(3)
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    toxicity.train(docs, labels, rows=10_000)
+    texts, toxic = taken.pop()
+    assert len(texts) == len(set(texts)) == 2500 and sum(toxic) == 200
+    toxicity.train(docs, labels, rows=400)
+    texts, toxic = taken.pop()
+    assert 300 < len(texts) < 500 and 150 < sum(toxic) <= 200
+
+
+def test_a_score_needs_a_free_name(spark):
+    df = spark.createDataFrame([(1, "a", 0.5)], "doc_id long, text string, __score double")
+    model = toxicity.Model(np.zeros(0, np.uint32), np.zeros(0), 0.0)
+    with pytest.raises(ValueError, match="__score"):
+        toxicity.score(df, model)
