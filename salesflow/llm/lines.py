@@ -6,12 +6,14 @@
    A line that fills a third of the corpus so spreads over many partitions.
 3. Each partition is read as a stream of batches: the first document of a key stays, the others are
    listed for dropping. Only the first and the last key of a batch may go on elsewhere; their first
-   three documents are handed on, and these keys are settled in a small join.
+   three documents are handed on. These keys are settled by a small aggregate, and its result goes to each
+   partition that has lines of the key, so the lines of a very common key stay spread.
 4. The dropped lines of a document become one compressed bitmap; no text is returned.
 
 Defined results: null and empty texts have one empty line; rows with the same doc_id count as one
 document, equal rows share their bitmap, a null doc_id is smaller than any other; columns other
-than doc_id and text are carried through :func:`drop_lines` untouched.
+than doc_id and text are carried through :func:`drop_lines` untouched, whatever their names. With ``row``, the name of
+a column that numbers the rows, every row is a document of its own: for tables whose doc_ids are null or repeated.
 """
 
 from __future__ import annotations
@@ -22,14 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.textscan import pieces, span_hashes
 from salesflow.session import stage
 
 LINE_ROWS = "h1 bigint, h2 bigint, doc bigint, text_hash bigint, line int"
-STREAM_ROWS = "kind string, h1 bigint, h2 bigint, doc bigint, text_hash bigint, line int"
+STREAM_ROWS = "kind string, h1 bigint, h2 bigint, doc bigint, text_hash bigint, line int, part int"
 NULL_DOC = -(1 << 63)  # stands for a null doc_id while lines are compared
 
 _BLANK = np.zeros(256, bool)
@@ -81,19 +84,20 @@ def _line_rows(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator[pa
             ], names=["h1", "h2", "doc", "text_hash", "line"])
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce("doc_id", F.lit(NULL_DOC)).cast("bigint").alias("doc"),
-                       F.coalesce("text", F.lit("")).alias("text"),
-                       F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+def _keys(row: str | None) -> tuple[Column, Column]:
+    """(document, which of its texts): the hash of the text, or the number of the row."""
+    return (F.coalesce("doc_id", F.lit(NULL_DOC)).cast("bigint"),
+            F.col(f"`{row}`").cast("bigint") if row else F.xxhash64(F.coalesce("text", F.lit(""))))
 
 
-def line_rows(docs: DataFrame, min_chars: int) -> DataFrame:
+def line_rows(docs: DataFrame, min_chars: int, row: str | None = None) -> DataFrame:
     """The hashed lines of at least ``min_chars`` code points, stored."""
-    found = _keyed(docs).mapInArrow(lambda b: _line_rows(b, min_chars), LINE_ROWS)
-    return stage(found, "lines")
+    doc, which = _keys(row)
+    keyed = docs.select(doc.alias("doc"), F.coalesce("text", F.lit("")).alias("text"), which.alias("text_hash"))
+    return stage(keyed.mapInArrow(lambda b: _line_rows(b, min_chars), LINE_ROWS), "lines")
 
 
-def _stream(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.RecordBatch]:
+def _stream(batches: Iterator[pa.RecordBatch], min_docs: int, by_row: bool) -> Iterator[pa.RecordBatch]:
     """Sorted rows in; ``drop`` rows, ``open`` rows and the documents (``doc`` rows) of open keys out.
 
     A key that lies inside a batch is settled at once: its first document stays, and the lines of
@@ -101,18 +105,22 @@ def _stream(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.Rec
     next batch or partition, so they stay open, with their first ``min_docs`` documents.
     """
     names = [f.split()[0] for f in STREAM_ROWS.split(", ")]
+    part = TaskContext.get().partitionId()
 
     def rows(kind: str, columns: list[np.ndarray]) -> pa.RecordBatch:
         kinds = pa.array([kind] * len(columns[0]), pa.string())
-        return pa.RecordBatch.from_arrays([kinds, *map(pa.array, columns)], names=names)
+        parts = pa.array(np.full(len(columns[0]), part, np.int32))
+        return pa.RecordBatch.from_arrays([kinds, *map(pa.array, columns), parts], names=names)
 
     for batch in batches:
         if not batch.num_rows:
             continue
         cols = [np.asarray(c) for c in batch.columns]
-        h1, h2, doc = cols[:3]
+        h1, h2, doc, which = cols[:4]
         new_key = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
         new_doc = new_key | np.r_[True, doc[1:] != doc[:-1]]
+        if by_row:
+            new_doc |= np.r_[True, which[1:] != which[:-1]]
         begins, key = np.flatnonzero(new_key), np.cumsum(new_key) - 1
         place = np.cumsum(new_doc) - 1
         rank = place - place[begins][key]  # of the row's document within its key
@@ -125,18 +133,22 @@ def _stream(batches: Iterator[pa.RecordBatch], min_docs: int) -> Iterator[pa.Rec
                 yield rows(kind, [c[chosen] for c in cols])
 
 
-def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, row: str | None = None) -> DataFrame:
     """(doc, text_hash, line) of every line that goes."""
-    lines = line_rows(docs, min_chars)
+    lines = line_rows(docs, min_chars, row)
     order = [F.col("h1"), F.col("h2"), F.col("doc").desc(), F.col("text_hash"), F.col("line")]
     streams = (lines.repartitionByRange(*order).sortWithinPartitions(*order)
-               .mapInArrow(lambda b: _stream(b, min_docs), STREAM_ROWS))
+               .mapInArrow(lambda b: _stream(b, min_docs, row is not None), STREAM_ROWS))
     settled = stage(streams, "line-stream")
-    keys = (settled.filter("kind = 'doc'").select("h1", "h2", "doc").distinct()
-            .groupBy("h1", "h2").agg(F.max("doc").alias("kept"), F.count("*").alias("n_docs"))
-            .filter(F.col("n_docs") >= min_docs))
-    late = (settled.filter("kind = 'open'").join(keys, ["h1", "h2"])
-            .filter(F.col("doc") != F.col("kept")))
+    which = F.col("text_hash") if row else F.lit(0).cast("bigint")
+    first = F.struct(F.col("doc").alias("doc"), (-which).alias("before"))  # the largest doc_id, its first row
+    named = settled.filter("kind = 'doc'")
+    keys = (named.select("h1", "h2", first.alias("d"), "part").distinct()
+            .groupBy("h1", "h2").agg(F.max("d").alias("kept"), F.count_distinct("d").alias("n_docs"),
+                                     F.collect_set("part").alias("parts"))
+            .filter(F.col("n_docs") >= min_docs)
+            .select("h1", "h2", "kept", F.explode("parts").alias("part")))
+    late = settled.filter("kind = 'open'").join(keys, ["h1", "h2", "part"]).filter(first != F.col("kept"))
     columns = ["doc", "text_hash", "line"]
     return settled.filter("kind = 'drop'").select(columns).unionByName(late.select(columns))
 
@@ -153,13 +165,13 @@ def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["doc", "text_hash", "keep"])
 
 
-def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, row: str | None = None) -> DataFrame:
     """(doc, text_hash, keep) of every document that loses a line, stored.
 
     ``keep`` is a zlib-compressed bit string, one bit per line from the first one, 1: stays;
     lines behind its end stay.
     """
-    gathered = dropped_lines(docs, min_chars, min_docs).groupBy("doc", "text_hash").agg(
+    gathered = dropped_lines(docs, min_chars, min_docs, row).groupBy("doc", "text_hash").agg(
         F.collect_set("line").alias("lines"))
     return stage(gathered.mapInArrow(_bitmaps, "doc bigint, text_hash bigint, keep binary"),
                  "keep-bitmaps")
@@ -175,14 +187,23 @@ def kept_lines(text: str, keep: bytes | None) -> tuple[str, int, int]:
     return "\n".join(x for i, x in enumerate(lines) if i not in gone), len(lines), len(gone)
 
 
-def with_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``__keep``, the bitmap of the row or null."""
-    keyed = docs.withColumns({
-        "__doc": F.coalesce("doc_id", F.lit(NULL_DOC)).cast("bigint"),
-        "__hash": F.xxhash64(F.coalesce("text", F.lit("")))})
-    named = bitmaps.select(F.col("doc").alias("__doc"), F.col("text_hash").alias("__hash"),
-                           F.col("keep").alias("__keep"))
-    return keyed.join(named, ["__doc", "__hash"], "left").drop("__doc", "__hash")
+def with_bitmaps(docs: DataFrame, bitmaps: DataFrame, row: str | None = None) -> DataFrame:
+    """All columns of ``docs`` and, as the last one, the bitmap of the row or null."""
+    doc, which, keep = _free(docs.columns, "doc", "which", "keep")
+    keyed = docs.withColumns(dict(zip((doc, which), _keys(row), strict=True)))
+    named = bitmaps.select(F.col("doc").alias(doc), F.col("text_hash").alias(which), F.col("keep").alias(keep))
+    return keyed.join(named, [doc, which], "left").select(*[f"`{c}`" for c in docs.columns], keep)
+
+
+def _free(taken: list[str], *wanted: str) -> list[str]:
+    """Names that no column has."""
+    lower = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name in lower:
+            name = "_" + name
+        out.append(name)
+    return out
 
 
 def _applied(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
@@ -196,9 +217,9 @@ def _applied(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
 
-def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, row: str | None = None) -> DataFrame:
     """``docs`` with the texts that the bitmaps keep; all columns stay, null texts stay null."""
-    joined = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
+    joined = with_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs, row), row)
     place = joined.columns.index("text")
     return joined.mapInArrow(lambda b: _applied(b, place), docs.schema)
 
@@ -220,5 +241,5 @@ def line_digests(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped and the hash of the text that the bitmaps keep, per row."""
     joined = with_bitmaps(docs.select("doc_id", "text"), bitmaps)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return joined.select("doc_id", "text", "__keep").mapInArrow(
+    return joined.mapInArrow(
         _digests, f"doc_id {kind}, n_lines bigint, n_dropped bigint, kept_sha256 string")

@@ -59,3 +59,38 @@ def test_a_line_in_most_documents(spark):
 def test_empty_table(spark):
     a, b = kept(spark, [], 1)
     assert a.count() == b.count() == 0
+
+
+def test_rows_as_documents(spark):
+    rows = [(None, LONG)] * 30 + [(7, f"{LONG}\nx")] * 3 + [(5, f"{LONG}\n{LONG}"), (None, None)]
+    df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(rows)], "doc_id long, text string, place long").repartition(4)
+    got = lines.drop_lines(df, row="place").collect()
+    kept = [r for r in got if LONG in (r.text or "")]
+    assert len(got) == len(rows) and [(r.doc_id, r.place) for r in kept] == [(7, 30)]
+    assert [r.text for r in got if r.doc_id == 5] == [""]
+    few = spark.createDataFrame([(1, LONG, 0), (1, LONG, 1)], "doc_id long, text string, place long")
+    assert [r.text for r in lines.drop_lines(few, row="place").collect()] == [LONG, LONG]
+
+
+def test_columns_of_any_name(spark):
+    docs = [(i, f"{LONG}\n{i}") for i in range(5)]
+    names = ["doc", "which", "keep", "__doc", "__hash", "__keep", "h1", "part", "line"]
+    df = spark.createDataFrame([(d, t, *names) for d, t in docs],
+                               "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+    got = lines.drop_lines(df).collect()
+    assert {tuple(r[2:]) for r in got} == {tuple(names)}
+    assert sorted((r.doc_id, r.text) for r in got) == sorted((e[0], e[3]) for e in brute(docs))
+
+
+def test_a_key_in_many_partitions(spark):
+    """A line in every document, in partitions of few rows: what is settled goes to each of them."""
+    docs = [(i, f"{LONG}\n{LONG}\n{i}") for i in range(900)]
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = [(r.doc_id, r.text) for r in kept(spark, docs, 5)[0].collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(got) == sorted((e[0], e[3]) for e in brute(docs))
