@@ -31,9 +31,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that stand in three or more of them, but for the last one.
 
-    A document that loses every line stays, with an empty text.
+    Every row is a document of its own, also where doc_ids are null or repeated; the line stays in the largest doc_id
+    (null is smaller than any other). A document that loses every line stays, with an empty text.
     """
-    kept = lines.drop_lines(docs.select(*COLUMNS))
+    kept = lines.drop_lines(numbered(docs), row="__row").select(*COLUMNS)
     return kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
                            .otherwise(F.length("text").cast("bigint")))
 
