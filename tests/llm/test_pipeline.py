@@ -1,5 +1,7 @@
 """Each stage against brute force on its own input."""
 
+import os
+
 import corpus_pipeline as P
 import test_decontamination as contamination
 import test_jaccard as similar
@@ -73,3 +75,32 @@ def test_benchmark_rows_go_with_null_and_repeated_ids(spark, folder):
             (6, passage), (None, None), (None, passage)]
     got = rows_of(P.drop_benchmark_documents(spark, documents(spark, rows), path))
     assert got == sorted([(None, "clean"), (5, "clean too"), (5, "clean too"), (None, None)], key=str)
+
+
+def test_repeated_lines_go_with_null_and_repeated_ids(spark, sf_dir):
+    line = "a line that stands in many documents"
+    rows = [(None, f"{line}\n{i}") for i in range(30)] + [(4, line), (4, line), (None, None), (None, "")]
+    got = P.drop_repeated_lines(spark, documents(spark, rows), sf_dir)
+    kept = rows_of(got)
+    assert got.columns == list(P.COLUMNS) and len(kept) == len(rows)
+    assert [k for k in kept if line in (k[1] or "")] == [(4, line)] and kept.count((4, "")) == 1
+    assert {r.text: r.n_chars for r in got.collect() if r.text is not None} == {
+        t: len(t) for _, t in kept if t is not None}
+
+
+def test_toxic_rows_go_with_null_and_repeated_ids(spark):
+    sf_dir = os.environ.get("TEST_TOXIC_DIR", "/root/testdata/sf0.01")  # the smallest tables have too few labels
+    toxic = [r.doc_id for r in QUERIES["op8_toxicity"](spark, sf_dir).collect() if r.predicted]
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    bad, clean = docs[toxic[0]], next(t for d, t in docs.items() if d not in toxic and t)
+    rows = [(None, bad), (None, clean), (5, bad), (5, clean), (5, clean)]
+    assert rows_of(P.drop_toxic(spark, documents(spark, rows), sf_dir)) == sorted(
+        [(None, clean), (5, clean), (5, clean)], key=str)
+
+
+def test_stages_of_an_empty_table(spark, sf_dir):
+    docs = documents(spark, [(1, "x")]).limit(0)
+    for name, function in P.STAGES:
+        out = function(spark, docs, sf_dir)
+        assert out.count() == 0, name
+        assert name == "packing" or out.columns == list(P.COLUMNS)
