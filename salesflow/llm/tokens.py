@@ -13,7 +13,7 @@ memory), and the ids are gathered. A text with a character outside the scan's ra
 control characters, contractions, special tokens) goes to the library as a whole.
 
 Defined results: null text counts as empty and has the end id alone; documents are ordered by
-doc_id, null first, then by text; repeated rows are written as often as they occur; only doc_id
+doc_id, null first, then by text, however many parts there are; repeated rows are written as often as they occur; only doc_id
 and text are read.
 """
 
@@ -30,8 +30,6 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
-
 from salesflow.llm import rans
 from salesflow.llm.textscan import pieces, span_hashes
 from salesflow.session import work_dir
@@ -95,11 +93,18 @@ def pre_tokens(data: np.ndarray, kinds: np.ndarray, borders: np.ndarray) -> np.n
     return np.flatnonzero(cut)
 
 
+def library(path: str):
+    """The tokenizer of a file; the package is needed only here."""
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
 class Encoder:
     """Token ids of many texts; remembers the ids of the pre-tokens that it has met."""
 
     def __init__(self, path: str) -> None:
-        self.library = Tokenizer.from_file(path)
+        self.library = library(path)
         words = self.library.get_vocab(with_added_tokens=True)
         self.sizes = np.zeros(max(words.values()) + 1, np.int64)  # bytes of each id: one per character
         self.sizes[list(words.values())] = [len(w) for w in words]
@@ -290,12 +295,14 @@ def _block_rows(batches: Iterator[pa.RecordBatch], freq: np.ndarray, width: type
 def write_tokens(docs: DataFrame, tokenizer: str, path: str, bits: int = 20) -> None:
     """Encode ``docs`` (doc_id, text) into ``path``/blocks and ``path``/table."""
     spark = docs.sparkSession
-    vocabulary = Tokenizer.from_file(tokenizer).get_vocab_size(with_added_tokens=True)
+    vocabulary = library(tokenizer).get_vocab_size(with_added_tokens=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     width = np.uint16 if vocabulary <= 1 << 16 else np.uint32
-    order = [F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first()]
+    by_id, text = F.col("doc_id").asc_nulls_first(), F.col("text")
+    # parts are cut by the beginning of the text, which orders like the text: borders stay small
     ordered = (docs.select("doc_id", "text")
-               .repartitionByRange(order[0], F.xxhash64("text")).sortWithinPartitions(*order))
+               .repartitionByRange(by_id, F.substring(text, 1, 64).asc_nulls_first())
+               .sortWithinPartitions(by_id, text.asc_nulls_first()))
     raw = f"{path}/raw"
     ordered.mapInArrow(
         lambda b: _token_rows(b, tokenizer, vocabulary),

@@ -1,5 +1,8 @@
 """Exact round trips of the token files and of the block codec."""
 
+import os
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -76,3 +79,35 @@ def test_whole_table(spark, sf_dir, folder):
 
 def test_empty_table(spark, folder):
     assert written(spark.createDataFrame([], "doc_id long, text string"), spark, folder) == []
+
+
+def test_order_of_a_repeated_id_in_any_number_of_parts(spark, folder):
+    texts = [f"text number {i} " * (1 + i % 5) for i in range(300)]
+    docs = spark.createDataFrame([(7, t) for t in texts] + [(None, "x"), (8, "y")], "doc_id long, text string")
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")
+    before, found = {k: spark.conf.get(k) for k in keys}, []
+    try:
+        for parts, adaptive in (("1", "true"), ("7", "false"), ("4", "false")):
+            spark.conf.set(keys[0], parts)
+            spark.conf.set(keys[1], adaptive)
+            path = folder("tokens")
+            tokens.write_tokens(docs.repartition(3), tokenizer_path(), path)
+            found.append([(r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in
+                          tokens.read_tokens(spark, path).orderBy("start").collect()])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found[0] == found[1] == found[2] and len(found[0]) == 302
+
+
+def test_without_the_tokenizers_package():
+    """All other queries can be used: the package is imported where ids are made."""
+    code = """
+import sys
+sys.modules["tokenizers"] = None
+import __spark_entry__
+print(len(__spark_entry__.queries()), "op4_token_ids" in __spark_entry__.queries())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=root)
+    assert int(out.stdout.split()[0]) > 120
