@@ -2,6 +2,6 @@
 
 from salesflow.catalog.base import ORACLES, QUERIES
 from salesflow.catalog import (  # noqa: F401  (each registers its queries)
-    scans, scalars, aggregations, serving, streams, quality, prediction, flows, lake)
+    scans, scalars, aggregations, serving, streams, quality, prediction, flows, lake, fits)
 
 __all__ = ["QUERIES", "ORACLES"]
