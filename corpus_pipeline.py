@@ -6,6 +6,7 @@ with benchmark passages go, and what is left is packed into training sequences.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,22 +29,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.filter(F.col("__score") < toxicity.THRESHOLD).drop("__score")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """The documents with a place per row (__file, __row): doc_ids may be null or repeated.
+
+    Rows of stored tables have one already, the file and the row's number in it, which every scan gives alike.
+    Other rows are numbered and stored.
+    """
+    try:
+        return docs.select(*COLUMNS, F.xxhash64("_metadata.file_path").alias("__file"),
+                           F.col("_metadata.row_index").alias("__row"))
+    except AnalysisException:  # no stored table
+        own = docs.select(*COLUMNS, F.lit(0).cast("long").alias("__file"), F.monotonically_increasing_id().alias("__row"))
+        return stage(own, "numbered")
+
+
+PLACE = ["__file", "__row"]
+
+
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that stand in three or more of them, but for the last one.
 
     Every row is a document of its own, also where doc_ids are null or repeated; the line stays in the largest doc_id
     (null is smaller than any other). A document that loses every line stays, with an empty text.
     """
-    kept = lines.drop_lines(numbered(docs), row="__row").select(*COLUMNS)
+    rows = numbered(docs).select(*COLUMNS, F.xxhash64(*PLACE).alias("__key"))
+    kept = lines.drop_lines(rows, row="__key").select(*COLUMNS)
     return kept.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars"))
                            .otherwise(F.length("text").cast("bigint")))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with a stored number per row: doc_ids may be null or repeated."""
-    return stage(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "numbered")
-
-
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by shingles: the one with the smallest doc_id.
 
@@ -51,19 +65,20 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     word are linked to nothing and stay.
     """
     rows = numbered(docs)
-    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", F.col("__row").alias("row"))
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", *PLACE)
     groups = jaccard.near_duplicates(rows.select(key.alias("doc_id"), "text"))
-    others = groups.filter("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("__row"))
-    return rows.join(others, "__row", "left_anti").select(*COLUMNS)
+    others = groups.filter("doc_id.__file <> component_id.__file OR doc_id.__row <> component_id.__row").select(
+        *[F.col(f"doc_id.{c}").alias(c) for c in PLACE])
+    return rows.join(others, PLACE, "left_anti").select(*COLUMNS)
 
 
 def drop_benchmark_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without any passage of the benchmark, row by row."""
     rows = numbered(docs)
-    found = decontamination.contamination(rows.select(F.col("__row").alias("doc_id"), "text"),
+    found = decontamination.contamination(rows.select(F.struct(*PLACE).alias("doc_id"), "text"),
                                           table(spark, sf_dir, "benchmark"))
-    hit = found.filter("contaminated").select(F.col("doc_id").alias("__row"))
-    return rows.join(hit, "__row", "left_anti").select(*COLUMNS)
+    hit = found.filter("contaminated").select(*[F.col(f"doc_id.{c}").alias(c) for c in PLACE])
+    return rows.join(hit, PLACE, "left_anti").select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
