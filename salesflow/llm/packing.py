@@ -20,6 +20,7 @@ doc_ids are items of their own; an empty table gives no bins.
 
 from __future__ import annotations
 
+import os
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -31,10 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesflow.llm.textscan import pieces
-from salesflow.llm.tokens import encoder
+from salesflow.llm.tokens import Encoder
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 WINDOW = 100_000
+PIECE = 1 << 19  # bytes of text whose ids are counted at once
 PIECE_ROWS = ("piece int, n_tokens int, doc_start bigint, bin_id bigint, bin_start int, "
               "capacity int")
 
@@ -137,10 +139,14 @@ def _packed(batches: Iterator[pa.RecordBatch], costs: dict[int, float], window:
 
 
 def _id_counts(batches: Iterator[pa.RecordBatch], tokenizer: str) -> Iterator[pa.RecordBatch]:
-    """(doc_id, token ids and an end id) of rows (doc_id, text)."""
-    known = encoder(tokenizer)
+    """(doc_id, token ids and an end id) of rows (doc_id, text).
+
+    The encoder goes with the task: workers are used again for other stages, which have no room for it.
+    """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core, and each thread its own memory
+    known = Encoder(tokenizer)
     for batch in batches:
-        counts = [known.encode(texts)[1] for _, texts in pieces(pc.fill_null(batch.column(1), ""))]
+        counts = [known.encode(texts)[1] for _, texts in pieces(pc.fill_null(batch.column(1), ""), PIECE)]
         n = pa.array(np.concatenate([np.zeros(0, np.int64), *counts]) + 1)
         yield pa.RecordBatch.from_arrays([batch.column(0), n], names=["doc_id", "n"])
 
