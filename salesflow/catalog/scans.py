@@ -42,6 +42,20 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(cast_sales(snake_case(raw), schemas.SALE))
 
 
+@query("csv_records", on_sales(digest_sql("broken"), broken=(
+    "SELECT * REPLACE (town || chr(10) || '\"' || town AS address, 'at' || chr(10) || town || ',' || chr(10) AS location) "
+    f"FROM ({BLANKS_AS_NULL})")))
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line breaks, quotes and separators within fields, the last one too, in files that any tasks may share."""
+    path = work_dir(spark, "csv")
+    broken = read_sales(spark, sales_files(spark, sf_dir)).withColumns({
+        "address": F.concat("town", F.lit('\n"'), "town"), "location": F.concat(F.lit("at\n"), "town", F.lit(",\n"))})
+    rename_to(broken, schemas.RAW_HEADER).write.csv(
+        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    raw = ingest_csv(spark, path, work_dir(spark, "raw"), records=True)
+    return digest(cast_sales(snake_case(raw), schemas.SALE))
+
+
 @query("quarantine_csv", on_sales(
     "SELECT kind, count(*) AS n FROM (SELECT CASE WHEN serial_number % 10 = 1 THEN 'dropped' "
     "WHEN serial_number % 10 = 2 THEN 'damaged' ELSE 'whole' END AS kind FROM sales) GROUP BY kind"))

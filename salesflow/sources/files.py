@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from salesflow import schemas
 from salesflow.session import stage, work_dir
+from salesflow.sources.records import csv_records
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW,
@@ -16,7 +17,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW,
     """A headed CSV with a declared schema. Empty fields are null, ``""`` is a quote.
 
     One line is one row, so that a large file is split among tasks; ``multi_line`` allows
-    line breaks within quotes, at the price of one task per file.
+    line breaks within quotes, at the price of one task per file (:func:`ingest_csv` has
+    ``records`` for both).
     """
     return _csv(spark, multi_line).schema(schema).csv(path)
 
@@ -26,16 +28,20 @@ def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, parquet_path: str,
-               schema: T.StructType = schemas.RAW, multi_line: bool = False) -> DataFrame:
-    """Convert a headed CSV to parquet, in one pass, and return the rows that were read.
+               schema: T.StructType = schemas.RAW, multi_line: bool = False,
+               records: bool = False) -> DataFrame:
+    """Convert a headed CSV to parquet and return the rows that were read.
 
     A line with too few or too many fields (as a line break within quotes makes it) is no
     row; a field of the wrong type is null in that field only. Both stay on record, see
-    :func:`refused_lines`.
+    :func:`refused_lines`. ``records`` allows line breaks within quotes in files that are
+    split among tasks, see :mod:`salesflow.sources.records`.
     """
-    fields = schemas.texts(schema)
-    lines = _csv(spark, multi_line).schema(fields.add(_BROKEN, T.StringType())).option(
-        "columnNameOfCorruptRecord", _BROKEN).csv(csv_path)
+    fields = schemas.texts(schema).add(_BROKEN, T.StringType())
+    if records:
+        lines = _records(spark, csv_path, fields)
+    else:
+        lines = _csv(spark, multi_line).schema(fields).option("columnNameOfCorruptRecord", _BROKEN).csv(csv_path)
     cells = {n: F.col(f"`{n}`").try_cast(schema[n].dataType) for n in schema.names}
     wrong = F.lit(False)
     for name, cell in cells.items():
@@ -53,6 +59,17 @@ def ingest_csv(spark: SparkSession, csv_path: str, parquet_path: str,
 _BROKEN, _LINE, _DROPPED = "_broken", "_line", "_dropped"
 
 
+def _records(spark: SparkSession, path: str, fields: T.StructType) -> DataFrame:
+    """The records of a headed CSV as texts; what is no record has its line in the last column."""
+    kind = ", ".join(f"`{f.name}` string" for f in fields)
+    options = {"escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": _BROKEN}
+    row = csv_records(spark, path).select(
+        F.from_csv("record", kind, options).alias("row"), "record", "torn")
+    return row.select(
+        *[F.when(~F.col("torn"), F.col("row").getField(f.name)).alias(f.name) for f in fields.fields[:-1]],
+        F.when(F.col("torn"), F.col("record")).otherwise(F.col("row").getField(_BROKEN)).alias(_BROKEN))
+
+
 def _ingested(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     kept = [*schema, T.StructField(_LINE, T.StringType()), T.StructField(_DROPPED, T.BooleanType())]
     return spark.read.schema(T.StructType(kept)).parquet(path)
