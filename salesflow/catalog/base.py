@@ -136,27 +136,26 @@ FROM {source} GROUP BY list_year, property_type"""
 
 # --- inputs of the file and stream queries
 
-TICKS = 4  # micro-batches in which the stream queries take their input
+# A part file has so many rows and a micro-batch takes so many files, whatever the size of the input:
+# ten times the input gives ten times the micro-batches.
+PART_ROWS = 20_000
+FILES_PER_TICK = 8
 
 
 _FEEDS: dict[tuple[str, str, str], tuple] = {}
 
 
 def feed_parts(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """The sales as part files in date order, and how many parts make one tick.
+    """The sales as part files of PART_ROWS rows in date order, and how many make one tick.
 
-    The number of parts follows the number of rows; written once per application.
+    Written once per application.
     """
     key = (spark.sparkContext.applicationId, sf_dir, "parts")
     if key not in _FEEDS:
         prepared = read_sales(spark, sales_files(spark, sf_dir))
-        rows = prepared.count()
-        # enough files per tick for all cores, but none of a few rows
-        tasks = min(spark.sparkContext.defaultParallelism, -(-rows // 10_000))
-        parts = part_count(rows, least=TICKS * tasks)
         path = work_dir(spark, "parts")
-        split_by_date(prepared, parts, path)
-        _FEEDS[key] = (path, -(-parts // TICKS))
+        split_by_date(prepared, part_count(prepared.count(), PART_ROWS, least=1), path)
+        _FEEDS[key] = (path, FILES_PER_TICK)
     return _FEEDS[key]
 
 
@@ -166,8 +165,8 @@ def message_topic(spark: SparkSession, sf_dir: str) -> tuple[Topic, int]:
     if key not in _FEEDS:
         parts, per_tick = feed_parts(spark, sf_dir)
         path = work_dir(spark, "topic")
-        files = per_tick * TICKS
-        encode(read_sales(spark, parts)).repartition(files).write.parquet(path)
+        prepared = read_sales(spark, parts)
+        encode(prepared).repartition(part_count(prepared.count(), PART_ROWS, least=1)).write.parquet(path)
         _FEEDS[key] = (Topic.folder(path), per_tick)
     return _FEEDS[key]
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamReader, DataStreamWriter, StreamingQuery
 
 from salesflow import schemas
 from salesflow.functions.wire import as_text, encode
@@ -42,16 +42,25 @@ def _every(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 
 def stream_sales(spark: SparkSession, folder: str, schema: T.StructType = schemas.SALE,
-                 files_per_trigger: int | None = None) -> DataFrame:
+                 files_per_trigger: int | None = None, bytes_per_trigger: int | None = None) -> DataFrame:
     """Watch a folder of parquet files with a declared schema.
 
-    ``files_per_trigger`` paces the feed; files are taken in the order in which
-    they appeared.
+    ``files_per_trigger`` or ``bytes_per_trigger`` paces the feed; files are taken in the
+    order in which they appeared.
     """
-    reader = spark.readStream.schema(schema)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    return _paced(spark.readStream.schema(schema), files_per_trigger, bytes_per_trigger).parquet(folder)
+
+
+def _paced(reader: DataStreamReader, files: int | None, size: int | None) -> DataStreamReader:
+    """A bound on one micro-batch of files: their number or their bytes (at least one file is taken).
+
+    Bytes hold whatever the files' sizes are: more input makes more micro-batches, not larger ones.
+    """
+    if files and size:
+        raise ValueError("a micro-batch is bounded by files or by bytes, not by both")
+    if files:
+        return reader.option("maxFilesPerTrigger", files)
+    return reader.option("maxBytesPerTrigger", size) if size else reader
 
 
 def release_parts(spark: SparkSession, parts: str, watched: str, numbers: Iterable[int],
@@ -96,11 +105,13 @@ def publish(stream: DataFrame, topic: Topic, checkpoint: str,
 
 
 def subscribe(spark: SparkSession, topic: Topic, start: str = "earliest",
-              group: str | None = None, per_trigger: int | None = None) -> DataFrame:
+              group: str | None = None, per_trigger: int | None = None,
+              bytes_per_trigger: int | None = None) -> DataFrame:
     """The messages of a topic as text in ``value``.
 
     ``start`` and ``group`` apply to brokers: where a first start begins, and
-    the consumer group. ``per_trigger`` bounds a micro-batch (offsets or files).
+    the consumer group. ``per_trigger`` bounds a micro-batch (offsets or files),
+    ``bytes_per_trigger`` that of a folder by the size of its files.
     """
     reader = spark.readStream.format(topic.format)
     if topic.format == "kafka":
@@ -109,14 +120,14 @@ def subscribe(spark: SparkSession, topic: Topic, start: str = "earliest",
         options["startingOffsets"] = start
         if group:
             options["kafka.group.id"] = group
+        if bytes_per_trigger:
+            raise ValueError("a broker's micro-batches are bounded by offsets (per_trigger)")
         if per_trigger:
             options["maxOffsetsPerTrigger"] = str(per_trigger)
         messages = reader.options(**options).load()
     else:
-        if per_trigger:
-            reader = reader.option("maxFilesPerTrigger", per_trigger)
         # publishers' folders are no columns of the messages
-        reader = reader.schema(MESSAGE).option("recursiveFileLookup", "true")
+        reader = _paced(reader, per_trigger, bytes_per_trigger).schema(MESSAGE).option("recursiveFileLookup", "true")
         messages = reader.load(topic.options["path"])
     return as_text(messages).select("value")
 

@@ -1,6 +1,7 @@
 """Files that appear once, the log of micro-batches, compaction, and releases."""
 
 import datetime
+import pathlib
 import threading
 
 import pytest
@@ -380,3 +381,21 @@ def test_a_model_is_released_with_its_features(spark, sf_dir, folder, monkeypatc
     monkeypatch.setattr(X, "save_features", save)
     flows.retrain(half, *whole, path=path)
     assert predictions() != first and L.latest(spark, f"{path}/versions")[0] == 2
+
+
+def test_bytes_bound_a_micro_batch_at_any_size(spark, folder):
+    """Ten times the input: ten times the micro-batches, none of them larger."""
+    sizes = {}
+    for times in (1, 10):
+        path, out, seen = folder("topic"), folder("out"), []
+        spark.range(400 * times).selectExpr("repeat(cast(id as string), 50) AS value").repartition(4 * times).write.parquet(path)
+        stored = [p.stat().st_size for p in pathlib.Path(path).glob("*.parquet")]
+        messages = subscribe(spark, Topic.folder(path), bytes_per_trigger=2 * max(stored))
+        for_each_batch(messages, lambda rows, _: seen.append(rows.count()), out).awaitTermination()
+        assert sum(seen) == 400 * times
+        sizes[times] = seen
+    assert len(sizes[10]) >= 8 * len(sizes[1]) and max(sizes[10]) <= 1.5 * max(sizes[1])
+    with pytest.raises(ValueError):
+        subscribe(spark, Topic.folder(folder("t")), per_trigger=1, bytes_per_trigger=1)
+    with pytest.raises(ValueError):
+        subscribe(spark, Topic.kafka("h:1", "t"), bytes_per_trigger=1)
