@@ -14,6 +14,7 @@ base.PART_ROWS = 300  # several micro-batches on the small tables, too
 
 TEST_DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
@@ -24,10 +25,12 @@ def spark(tmp_path_factory):
     yield session
     session.stop()
 
+
 @pytest.fixture(scope="session")
 def sf_dir():
     return TEST_DATA
 
+
 @pytest.fixture()
 def folder(tmp_path):
     """A new folder name below the test's own folder."""
