@@ -1,21 +1,21 @@
-"""Exact top-k search by BM25 with block-max dynamic pruning.
+"""Exact top-k search by BM25 with block-max WAND.
 
 :func:`build_index` stores an inverted index in shards of at most ``SHARD_DOCS`` documents: sorted
 term hashes, and for each term its documents with their frequencies. Scores use the statistics of
 the whole corpus (number and average length of documents, document frequencies), so the shards' best
 lists merge exactly.
 
-A shard is searched for a batch of queries at once. The lists of rarer terms are summed up first. The
-lists of frequent terms have a maximum per block of ``BLOCK`` documents; rare sum plus maxima bound
-every score of a block. Blocks are visited from the highest bound, and a block is scored only for the
-queries whose k-th best score so far, carried from shard to shard, does not exceed its bound.
+Every list has its maximum, and one maximum per block of ``BLOCK`` documents that it stands in. A query whose
+summed list maxima stay below its threshold, the k-th best score so far, carried from shard to shard, leaves the
+shard at once. Otherwise the summed block maxima of its lists bound every block, and a loop moves from pivot to
+pivot: the next block whose bound reaches the threshold. Only pivots have postings read and scores summed; the
+threshold rises with them, and when no bound reaches it any more all other blocks are skipped. Pivots come by
+falling bound, not by place, so that thresholds rise early, and in steps that double, so that many queries
+share a step. The block maxima and scores of the lists of frequent terms are kept as matrices.
 
 The stated queries go through the index in blocks of bounded size, so neither the queries nor the index are
 ever held whole by one process; a task keeps the k best of each query over all its shards and returns them once.
 
-This is block-max pruning without WAND's pivots: queries are whole texts of hundreds of terms, so nearly every
-document has some of them, and moving pivots list by list does more work than bounding all blocks at once.
-
 Defined results: words as in :mod:`salesflow.llm.decontamination`; texts without words match nothing
 and count in the averages with length 0; a query term counts as often as it occurs in the query; scores are
 rounded to ``DIGITS`` decimals, ties go to the smaller doc_id (null first); documents without a
@@ -43,6 +43,8 @@ BLOCK = 64
 FREQUENT = 16  # a term in more than 1 / FREQUENT of a shard's documents counts as frequent
 QUERY_TERMS = 500_000  # terms of one block of queries
 BATCH = 256  # queries that are scored at once
+PIVOTS = 1  # blocks of a query's first step; each step has twice as many
+SLACK = 10.0 ** -DIGITS  # bounds and scores are sums in different orders
 
 _WORD = np.zeros(256, bool)  # bytes of words: digits, letters and all but ASCII
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
@@ -135,22 +137,32 @@ class Shard:
         self.n = row["n_docs"]
         self.terms = np.frombuffer(row["terms"], np.uint64)
         begins = np.frombuffer(row["begins"], np.uint32).astype(np.int64)
-        self.docs = np.frombuffer(row["docs"], np.uint16).astype(np.int64)
+        self.docs = np.frombuffer(row["docs"], np.uint16)
         tf = np.frombuffer(row["counts"], np.uint32).astype(np.float64)
         length = np.frombuffer(row["lengths"], np.uint32).astype(np.float64)
-        self.begins, self.ends = begins, np.append(begins[1:], len(self.docs))
+        ends = np.append(begins[1:], len(self.docs))
         norm = K1 * (1 - B + B * length / average) if average else np.full(self.n, K1)
         self.gain = tf * (K1 + 1) / (tf + norm[self.docs])
         self.blocks = -(-self.n // BLOCK)
-        self.scored = 0  # blocks that a query was scored in
-        often = np.flatnonzero(self.ends - begins > max(self.n // FREQUENT, 8))
+        self.scored = self.read = 0  # pivots that were scored, postings of rarer terms read for them
+        # runs of a list within a block: where they start, their blocks and maxima; runs first[t]..first[t + 1] are list t's
+        block = self.docs // np.uint16(BLOCK)
+        new = np.r_[True, block[1:] != block[:-1]][:len(block)]
+        new[begins] = True
+        start = np.flatnonzero(new)
+        self.block = block[start]
+        self.most = np.maximum.reduceat(self.gain, start) if len(start) else np.zeros(0)
+        self.start = np.append(start, len(block)).astype(np.uint32)
+        self.first = np.searchsorted(start, np.append(begins, len(block)))
+        self.list_most = np.maximum.reduceat(self.most, self.first[:-1]) if len(begins) else np.zeros(0)
+        often = np.flatnonzero(ends - begins > max(self.n // FREQUENT, 8))
         self.row_of = np.full(len(self.terms), -1)
         self.row_of[often] = np.arange(len(often))
         self.dense = np.zeros((len(often), self.blocks * BLOCK))
         for r, t in enumerate(often.tolist()):
-            part = slice(self.begins[t], self.ends[t])
+            part = slice(begins[t], ends[t])
             self.dense[r, self.docs[part]] = self.gain[part]
-        self.most = self.dense.reshape(len(often), self.blocks, BLOCK).max(axis=2)
+        self.dense_most = self.dense.reshape(len(often), self.blocks, BLOCK).max(axis=2)
 
     def find(self, terms: np.ndarray) -> np.ndarray:
         """The place of each term in the shard, or -1."""
@@ -159,13 +171,34 @@ class Shard:
         place = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
         return np.where(self.terms[place] == terms, place, -1)
 
-    def rare_sums(self, place: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """The summed gains of the rarer terms, for every document."""
-        begin, count = self.begins[place], self.ends[place] - self.begins[place]
-        before = np.cumsum(count) - count
-        take = np.repeat(begin - before, count) + np.arange(count.sum())
-        return np.bincount(self.docs[take], weights=self.gain[take] * np.repeat(weight, count),
-                           minlength=self.blocks * BLOCK)
+    def runs(self, place: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The runs of some lists, and the list's weight for each."""
+        count = self.first[place + 1] - self.first[place]
+        return _spread(self.first[place], count), np.repeat(weight, count)
+
+    def bounds(self, runs: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """The summed block maxima of the runs, for every block."""
+        return np.bincount(self.block[runs], weights=self.most[runs] * weight, minlength=self.blocks)
+
+    def sums(self, runs: np.ndarray, weight: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+        """The summed gains of the runs in some blocks: a row per block."""
+        slot = np.full(self.blocks, -1)
+        slot[pivots] = np.arange(len(pivots))
+        here = np.flatnonzero(slot[self.block[runs]] >= 0)
+        runs = runs[here]
+        count = self.start[runs + 1].astype(np.int64) - self.start[runs]
+        take = _spread(self.start[runs].astype(np.int64), count)
+        self.read += len(take)
+        doc = self.docs[take].astype(np.int64)
+        total = np.bincount(slot[doc // BLOCK] * BLOCK + doc % BLOCK, minlength=len(pivots) * BLOCK,
+                            weights=self.gain[take] * np.repeat(weight[here], count))
+        return total.reshape(len(pivots), BLOCK)
+
+
+def _spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin, begin + 1, .. for every range."""
+    before = np.cumsum(count) - count
+    return np.repeat(begin - before, count) + np.arange(count.sum())
 
 
 def search_shard(shard: Shard, queries: list[tuple[np.ndarray, np.ndarray]], best: list[np.ndarray], k: int
@@ -176,40 +209,68 @@ def search_shard(shard: Shard, queries: list[tuple[np.ndarray, np.ndarray]], bes
     """
     found: list[tuple[np.ndarray, np.ndarray]] = []
     for first in range(0, len(queries), BATCH):
-        part = queries[first:first + BATCH]
-        score = np.zeros((len(part), shard.blocks * BLOCK))
-        weights = np.zeros((len(part), len(shard.dense)))
-        for i, (terms, weight) in enumerate(part):
-            place = shard.find(terms)
-            there = np.flatnonzero(place >= 0)
-            place, weight = place[there], weight[there]
-            row = shard.row_of[place]
-            weights[i, row[row >= 0]] = weight[row >= 0]
-            score[i] = shard.rare_sums(place[row < 0], weight[row < 0])
-        rare = score.reshape(len(part), shard.blocks, BLOCK)
-        bound = rare.max(axis=2) + weights @ shard.most
         top = np.array(best[first:first + BATCH])
-        scored = np.zeros((len(part), shard.blocks), bool)
-        used = np.flatnonzero(weights.any(axis=0))
-        weights, dense = weights[:, used], shard.dense[used]
-        for b in np.argsort(-bound.sum(axis=0)).tolist():
-            who = np.flatnonzero((bound[:, b] >= top[:, 0] - 10.0 ** -DIGITS) & (bound[:, b] > 0))
-            if not len(who):
-                continue
-            span = slice(b * BLOCK, (b + 1) * BLOCK)
-            score[who, span] += weights[who] @ dense[:, span]
-            scored[who, b] = True
-            shard.scored += len(who)
-            both = np.concatenate([top[who], score[who, span]], axis=1)
-            top[who] = np.sort(np.partition(both, -k, axis=1)[:, -k:], axis=1)
+        found += _search(shard, queries[first:first + BATCH], top)
         best[first:first + BATCH] = list(top)
-        score[~np.repeat(scored, BLOCK, axis=1)] = 0
-        for i in range(len(part)):
-            good = np.flatnonzero((score[i] >= top[i, 0] - 10.0 ** -DIGITS) & (score[i] > 0))
-            found.append((good, score[i, good]))
     return found
 
 
+def _search(shard: Shard, queries: list[tuple[np.ndarray, np.ndarray]], top: np.ndarray
+            ) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The same for one batch; ``top`` has the k best scores of each query, the lowest first."""
+    bound = np.zeros((len(queries), shard.blocks))
+    weights = np.zeros((len(queries), len(shard.dense)))
+    rare = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+    for i, (terms, weight) in enumerate(queries):
+        place = shard.find(terms)
+        there = np.flatnonzero(place >= 0)
+        place, weight = place[there], weight[there]
+        if shard.list_most[place] @ weight < top[i, 0] - SLACK:
+            continue
+        row = shard.row_of[place]
+        weights[i, row[row >= 0]] = weight[row >= 0]
+        rare[i] = shard.runs(place[row < 0], weight[row < 0])
+        bound[i] = shard.bounds(*rare[i])
+    bound += weights @ shard.dense_most
+    order = np.argsort(-bound, axis=1)
+    bound = np.take_along_axis(bound, order, axis=1)
+    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    at, step = 0, PIVOTS
+    while at < shard.blocks:
+        ahead = bound[:, at:at + step]
+        who, nth = np.nonzero((ahead >= top[:, :1] - SLACK) & (ahead > 0))
+        if not len(who):
+            break
+        pivot = order[who, at + nth]
+        shard.scored += len(who)
+        score = np.zeros((len(who), BLOCK))
+        by_block = np.argsort(pivot, kind="stable")
+        for pairs in np.split(by_block, np.flatnonzero(np.diff(pivot[by_block])) + 1):
+            b = int(pivot[pairs[0]])
+            score[pairs] = weights[who[pairs]] @ shard.dense[:, b * BLOCK:(b + 1) * BLOCK]
+        for i, pairs in _slices(who):
+            score[pairs] += shard.sums(*rare[i], pivot[pairs])
+        pair, offset = np.nonzero((score >= top[who, :1] - SLACK) & (score > 0))
+        reached = score[pair, offset]
+        kept.append((who[pair], pivot[pair] * BLOCK + offset, reached))
+        for i, some in _slices(who[pair]):
+            top[i] = np.sort(np.concatenate([top[i], reached[some]]))[-top.shape[1]:]
+        at, step = at + step, 2 * step
+    who, doc, score = (np.concatenate(x) for x in zip(*kept, strict=True)) if kept else np.zeros((3, 0), np.int64)
+    good = np.flatnonzero(score >= top[who, 0] - SLACK)
+    good = good[np.argsort(who[good], kind="stable")]
+    ends = np.searchsorted(who[good], np.arange(1, len(queries)))
+    return list(zip(np.split(doc[good], ends), np.split(score[good], ends), strict=True))
+
+
+def _slices(sorted_values: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """Each value of a sorted array and where it stands."""
+    cuts = np.flatnonzero(np.diff(sorted_values)) + 1
+    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(sorted_values)], strict=True):
+        if b > a:
+            yield int(sorted_values[a]), slice(a, b)
+
+
 def top_k(index: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank, doc_id, score of the ``k`` best documents of every query (query_id, text)."""
     spark = index.sparkSession

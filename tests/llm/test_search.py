@@ -77,6 +77,47 @@ def test_blocks_are_skipped():
     assert len(found[0][0]) == 0 and shard.scored == 1
 
 
+def weighed(text):
+    terms, counts = np.unique(np.concatenate([t for _, _, t, _ in search._words(pa.array([text]))]), return_counts=True)
+    return terms, counts.astype(float)
+
+
+def test_rare_lists_are_skipped_by_block():
+    rare = [f"r{i}" for i in range(30)]
+    docs = [(i, " ".join(rare) if 64 <= i < 70 else "" if i % 4 else rare[i // 64 * 3 + i % 3]) for i in range(640)]
+    shard = shard_of(docs)
+    assert len(shard.dense) == 0 and len(shard.terms) == 30  # no list is frequent
+    (found,) = search.search_shard(shard, [weighed(" ".join(rare))], [np.full(3, -np.inf)], 3)
+    assert set(found[0].tolist()) == set(range(64, 70)) and shard.scored == search.PIVOTS
+    before = shard.read
+    assert before == (shard.docs // 64 == 1).sum() < len(shard.docs)  # the postings of other blocks are never read
+    (found,) = search.search_shard(shard, [weighed("r1")], [np.full(3, 99.0)], 3)  # the maximum of the list is too low
+    assert len(found[0]) == 0 and shard.read == before and shard.scored == search.PIVOTS
+
+
+def test_pivots_lose_nothing():
+    docs, rng = corpus(2000, 5), np.random.default_rng(3)
+    queries = [weighed(t or "c1") for _, t in docs[:600:2]] + [weighed("c1"), weighed("absent")]
+    whole = [shard_of(docs[a:a + 700]) for a in range(0, 2000, 700)]
+    order = rng.permutation(len(whole)).tolist()
+    best = [np.full(9, -np.inf) for _ in queries]
+    got = [[] for _ in queries]
+    for s in order:
+        for i, (doc, score) in enumerate(search.search_shard(whole[s], queries, best, 9)):
+            got[i] += zip((-score.round(6)).tolist(), (doc + 700 * s).tolist())
+    for i, (terms, weight) in enumerate(queries):
+        plain = []
+        for s, shard in enumerate(whole):
+            total = np.zeros(shard.n)
+            for t, w in zip(shard.find(terms), weight):
+                if t >= 0:
+                    run = slice(shard.start[shard.first[t]], shard.start[shard.first[t + 1]])
+                    total[shard.docs[run]] += w * shard.gain[run]
+            plain += [(-x, d + 700 * s) for d, x in enumerate(total.round(6).tolist()) if x > 0]
+        assert sorted(got[i])[:9] == sorted(plain)[:9]
+    assert sum(s.scored for s in whole) < len(queries) * sum(s.blocks for s in whole)
+
+
 def test_frequencies_are_counted_once(spark):
     docs = [(i, f"c{i % 3} same") for i in range(50)] + [(99, None)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
