@@ -1,6 +1,14 @@
 """The files that stand for a feed, and how the derived sales are joined."""
 
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+from salesflow.catalog import scans
+from salesflow.sources.files import read_sales, split_by_date
 from salesflow.sources.testdata import sales
+from salesflow.streaming.bus import part_numbers, release_parts
 
 
 def test_rows_of_lineitem_meet_each_table_once(spark, sf_dir):
@@ -18,3 +26,17 @@ def test_rows_of_lineitem_meet_each_table_once(spark, sf_dir):
         below.append(line)
     assert any("o_custkey" in line for line in below)
     assert not any("l_orderkey" in line for line in below)
+
+
+def test_replay_with_a_range_that_left_no_file(spark, sf_dir, folder, monkeypatch):
+    whole, parts = folder("whole"), folder("parts")
+    made = sales(spark, sf_dir).drop("created_at")
+    split_by_date(made, 6, whole)
+    shutil.copytree(whole, parts, ignore=shutil.ignore_patterns("part-00002-*", ".*"))
+    left = read_sales(spark, parts)
+    assert part_numbers(left) == [0, 1, 3, 4, 5]
+    monkeypatch.setattr(scans, "feed_parts", lambda *_: (parts, 2))
+    found = scans.paced_replay(spark, sf_dir).agg(F.sum("n"), F.bool_and("in_order")).first()
+    assert tuple(found) == (left.count(), True)
+    with pytest.raises(FileNotFoundError):
+        release_parts(spark, parts, folder("watched"), [1, 2])
