@@ -5,12 +5,52 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from salesflow.catalog import scans
+from salesflow.catalog import base, scans
 from salesflow.sources.files import read_sales, split_by_date
 from salesflow.sources.testdata import sales
 from salesflow.streaming.bus import part_numbers, release_parts
 
 
+@pytest.fixture()
+def feed(spark, sf_dir, monkeypatch):
+    """Feeds of their own, whose files grow until the input makes two micro-batches, up to 500 rows."""
+    for name, value in {"_FEEDS": {}, "PART_ROWS": 10, "MOST_PART_ROWS": 500, "TICKS": 2}.items():
+        monkeypatch.setattr(base, name, value)
+    return sales(spark, sf_dir).count()
+
+
+def _largest(df):
+    return df.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+
+
+def test_part_rows_follow_the_input_between_two_bounds(monkeypatch):
+    monkeypatch.setattr(base, "PART_ROWS", 20_000)
+    assert base.part_rows(0) == base.part_rows(600_000) == 20_000
+    tick = base.FILES_PER_TICK
+    for rows in (3_600_000, 36_000_000):  # ten times the rows, as many micro-batches
+        assert 15 <= rows / base.part_rows(rows) / tick <= base.TICKS
+    # beyond, micro-batches are bounded and their number grows with the input
+    assert base.part_rows(216_000_000) == base.part_rows(10**10) == base.MOST_PART_ROWS
+
+
+def test_feed_makes_a_bounded_number_of_files(spark, sf_dir, feed):
+    parts, per_tick = base.feed_parts(spark, sf_dir)
+    stored = read_sales(spark, parts)
+    assert stored.count() == feed
+    assert len(stored.inputFiles()) == -(-feed // base.part_rows(feed)) <= 2 * per_tick
+    topic, per_tick = base.message_topic(spark, sf_dir)
+    messages = spark.read.parquet(topic.options["path"])
+    assert messages.count() == feed
+    assert _largest(messages) <= base.part_rows(feed)
+
+
+def test_messages_are_stored_in_bounded_files_without_a_shuffle(spark, sf_dir, feed, monkeypatch):
+    monkeypatch.setattr(base, "MOST_PART_ROWS", 100)
+    stored = base.store_messages(spark.range(5000).repartition(1).select(F.col("id").cast("string").alias("value")), 5000)
+    messages = spark.read.parquet(stored.options["path"])
+    assert (messages.distinct().count(), _largest(messages)) == (5000, 100)
+
+
 def test_rows_of_lineitem_meet_each_table_once(spark, sf_dir):
     """Customers are joined to their orders before the orders are joined to lineitem."""
     lines = sales(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
