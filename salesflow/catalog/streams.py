@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from salesflow import schemas
 from salesflow.catalog.base import (
-    COMPLETE, STAMP, digest, digest_sql, feed_parts, message_topic, on_sales, query)
+    COMPLETE, STAMP, damaged_topic, digest, digest_sql, feed_parts, message_topic, on_sales, query)
 from salesflow.functions.cleaning import cast_sales, ntz
 from salesflow.functions.wire import decode
 from salesflow.session import work_dir
@@ -172,15 +172,10 @@ def two_streams_one_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     "UNION ALL SELECT 'quarantined', count(*) FROM sales WHERE serial_number % 10 = 1"))
 def quarantine_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every message is either in the lake or in quarantine: here those cut off are."""
-    topic, _ = message_topic(spark, sf_dir)
-    whole = decode(spark.read.parquet(topic.options["path"]))
-    value = F.to_json(F.struct("*"))
-    cut = F.when(F.col("serial_number") % 10 == 1, F.left(value, F.lit(5))).otherwise(value)
-    path = work_dir(spark, "topic")
-    whole.select(cut.alias("value")).write.parquet(path)
+    broken, per_tick = damaged_topic(spark, sf_dir)
     tables, out = Tables(work_dir(spark, "ingest")), work_dir(spark, "quarantine")
-    broken = Topic.folder(path)
-    run_ingest(spark, broken, tables, work_dir(spark, "offsets"), ntz(STAMP)).awaitTermination()
+    run_ingest(spark, broken, tables, work_dir(spark, "offsets"), ntz(STAMP),
+               per_trigger=per_tick).awaitTermination()
     run_quarantine(spark, broken, out, work_dir(spark, "offsets")).awaitTermination()
     stored = read_lake(spark, tables).agg(F.lit("stored").alias("kind"), F.count("*").alias("n"))
     refused = spark.read.parquet(out).filter("dropped")

@@ -5,7 +5,7 @@ import shutil
 import pytest
 from pyspark.sql import functions as F
 
-from salesflow.catalog import base, scans
+from salesflow.catalog import base, lake, scans, streams
 from salesflow.sources.files import read_sales, split_by_date
 from salesflow.sources.testdata import sales
 from salesflow.streaming.bus import part_numbers, release_parts
@@ -51,6 +51,22 @@ def test_messages_are_stored_in_bounded_files_without_a_shuffle(spark, sf_dir, f
     assert (messages.distinct().count(), _largest(messages)) == (5000, 100)
 
 
+@pytest.mark.parametrize("module, name", [(streams, "quarantine_messages"), (lake, "message_accounts")])
+def test_damaged_messages_come_in_several_micro_batches(spark, sf_dir, feed, monkeypatch, module, name):
+    seen = []
+    run = module.run_ingest
+
+    def counted(*args, **how):
+        running = run(*args, **how)
+        seen.append(running)
+        return running
+
+    monkeypatch.setattr(module, "run_ingest", counted)
+    monkeypatch.setattr(base, "MOST_PART_ROWS", 200)
+    base.QUERIES[name](spark, sf_dir).collect()
+    assert sum(p["numInputRows"] > 0 for p in seen[0].recentProgress) > 2
+
+
 def test_rows_of_lineitem_meet_each_table_once(spark, sf_dir):
     """Customers are joined to their orders before the orders are joined to lineitem."""
     lines = sales(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
