@@ -96,3 +96,12 @@ def test_replay_with_a_range_that_left_no_file(spark, sf_dir, folder, monkeypatc
     assert tuple(found) == (left.count(), True)
     with pytest.raises(FileNotFoundError):
         release_parts(spark, parts, folder("watched"), [1, 2])
+
+
+def test_published_messages_are_compressed_well(spark, sf_dir, feed, monkeypatch):
+    made = []
+    work_dir = streams.work_dir
+    monkeypatch.setattr(streams, "work_dir", lambda *a: made.append(work_dir(*a)) or made[-1])
+    assert streams.stream_publish(spark, sf_dir).count() == feed
+    files = spark.read.parquet(made[0]).inputFiles()
+    assert files and all(name.endswith(".zstd.parquet") for name in files)
