@@ -4,7 +4,8 @@ The global order of all shingles (by hash, the very frequent ones last) is cut i
 
 1. One pass gives every document the 128-bit key of its shingle set: documents with the same set
    are one node from here on. The same pass finds the shingles that are frequent in a block of
-   documents, and a count over all prefixes those in more than ``LIST_MOST`` of them; the
+   documents, and a count over all prefixes those in more than ``LIST_MOST`` of them. Texts with one of
+   these share a common passage, and a count over all their shingles finds the rest of it. The
    ``HOT_KEPT`` most frequent ones go last in the global order.
 2. Two sets that reach the similarity share a shingle among the first ``n - need + 1`` of the order
    (prefix). These prefixes, split into fragments, give lists of nodes per shingle; lists of a
@@ -221,21 +222,32 @@ def _prefix(shingles: np.ndarray, hot: np.ndarray, hot_rank: np.ndarray, percent
     return np.concatenate([cold, hot[often]]), np.arange(length) >= len(cold)
 
 
+def _found(shingles: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which shingles are among the sorted ``known`` ones."""
+    if not len(known):
+        return np.zeros(len(shingles), bool)
+    return known[np.minimum(np.searchsorted(known, shingles), len(known) - 1)] == shingles
+
+
 def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int, nodes: bool,
-                 clashes: Clashes) -> DataFrame:
+                 clashes: Clashes, whole: DataFrame | None = None) -> DataFrame:
     """(fragment, entries): the packed prefix entries of every set, the frequent ones apart.
 
-    An entry is (shingle, node, n, place), or without ``nodes`` the shingle alone.
+    An entry is (shingle, node, n, place), or without ``nodes`` the shingle alone. With ``whole``, sets with one of
+    its shingles in the prefix have all of theirs as entries, and the others none.
     """
     table = hot.toArrow()  # at most HOT_KEPT rows
     shingles = np.asarray(table.column("shingle")).astype(np.int64).view(np.uint64)
     order = np.argsort(shingles)
     rank = np.empty(len(order), np.int64)  # the least frequent first
     rank[np.lexsort((shingles, np.asarray(table.column("n"))))] = np.arange(len(order))
-    shared = docs.sparkSession.sparkContext.broadcast((shingles[order], rank[order]))
+    common = None
+    if whole is not None:
+        common = np.sort(np.asarray(whole.toArrow().column("shingle")).astype(np.int64).view(np.uint64))
+    shared = docs.sparkSession.sparkContext.broadcast((shingles[order], rank[order], common))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot_, rank_ = shared.value
+        hot_, rank_, common_ = shared.value
         seen: set[int] = set()  # copies within a task count once
 
         def sent(found: list[tuple]) -> pa.RecordBatch:
@@ -266,7 +278,12 @@ def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percen
                 if node in seen:
                     continue
                 seen.add(node)
-                found.append((*_prefix(shingles, hot_, rank_, percent), node, len(shingles)))
+                prefix, often = _prefix(shingles, hot_, rank_, percent)
+                if common_ is not None:
+                    if not _found(prefix, common_).any():
+                        continue
+                    prefix, often = shingles, _found(shingles, hot_)
+                found.append((prefix, often, node, len(shingles)))
                 held += len(found[-1][0])
                 if held >= 300_000:
                     yield sent(found)
@@ -279,16 +296,29 @@ def _prefix_rows(docs: DataFrame, hot: DataFrame, groups: int, size: int, percen
 
 def frequent_in_prefixes(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int,
                          clashes: Clashes) -> DataFrame:
-    """Stored: (shingle, n) of ``hot``, and of the shingles in more than LIST_MOST prefixes."""
+    """Stored: (shingle, n) of ``hot``, and of the shingles in more than LIST_MOST prefixes.
+
+    A shingle that goes last makes room in the prefixes of its texts for others of the same common passage. So
+    these texts are counted once more, with all of their shingles.
+    """
     def count(rows: pa.Table) -> pa.Table:
         entries = np.concatenate([np.frombuffer(p.as_buffer(), np.uint64) for p in rows.column("entries")])
         found, counts = np.unique(entries, return_counts=True)
         often = counts > LIST_MOST
         return pa.table({"shingle": found[often].view(np.int64), "n": counts[often].astype(np.int64)})
 
-    rows = _prefix_rows(docs, hot, groups, size, percent, False, clashes).filter(F.col("fragment") < groups)
-    more = rows.groupBy("fragment").applyInArrow(count, "shingle bigint, n bigint")
-    return stage(hot.union(more).orderBy(F.desc("n"), "shingle").limit(HOT_KEPT), "frequent-shingles")
+    def most(rows: DataFrame) -> DataFrame:
+        return rows.orderBy(F.desc("n"), "shingle").limit(HOT_KEPT)
+
+    def counted(whole: DataFrame | None = None) -> DataFrame:
+        rows = _prefix_rows(docs, hot, groups, size, percent, False, clashes, whole).filter(F.col("fragment") < groups)
+        return rows.groupBy("fragment").applyInArrow(count, "shingle bigint, n bigint")
+
+    more = stage(most(counted()), "frequent-in-prefixes")
+    known = hot.union(more)
+    if not more.isEmpty():
+        known = known.union(counted(more)).groupBy("shingle").agg(F.max("n").alias("n"))
+    return stage(most(known), "frequent-shingles")
 
 
 def prefix_lists(docs: DataFrame, hot: DataFrame, groups: int, size: int, percent: int,

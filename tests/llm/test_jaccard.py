@@ -88,6 +88,19 @@ def test_large_near_copy_group(spark):
     assert sorted(map(tuple, got)) == sorted(brute(docs)[0])
 
 
+def test_a_common_passage_makes_no_long_lists(spark):
+    passage = " ".join(f"common{k}" for k in range(60))
+    texts = [" ".join(f"own{i}x{k}" for k in range(60)) + " " + passage for i in range(160)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(16)
+    sets, hot = jaccard.document_sets(docs, 5)
+    assert hot.isEmpty()  # too few in each task
+    clashes = jaccard.Clashes.of(sets)
+    hot = jaccard.frequent_in_prefixes(docs, hot, 3, 5, 80, clashes)
+    lists = jaccard.prefix_lists(docs, hot, 3, 5, 80, clashes).join(hot, "shingle", "left_anti")
+    assert all(r["count"] <= 2 * jaccard.LIST_MOST for r in lists.groupBy("shingle").count().collect())
+    assert not jaccard.near_duplicates(docs).filter("component_id <> doc_id").count()
+
+
 def test_empty_table(spark):
     assert jaccard.near_duplicates(frame(spark, [(1, "a")]).limit(0)).count() == 0
 
