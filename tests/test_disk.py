@@ -84,3 +84,19 @@ def test_shuffle_files_go_with_the_write(spark, folder):
         time.sleep(0.2)
     assert not _shuffle_files(spark) - before
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == kept
+
+
+def test_large_feeds_are_removed_when_the_next_is_made(spark, sf_dir, large, monkeypatch):
+    gone = []
+    for module in (base, testdata):
+        monkeypatch.setattr(module, "remove", lambda s, path: gone.append(path) or log.remove(s, path))
+    topic, _ = base.damaged_topic(spark, sf_dir)
+    assert {path.rpartition("/")[2].split("-")[0] for path in gone} == {"sales", "parts", "topic"}
+    assert not any(log.exists(spark, path) for path in gone)
+    assert spark.read.parquet(topic.options["path"]).count() == testdata.sales(spark, sf_dir).count()
+
+
+def test_feeds_that_a_query_has_stay(spark, sf_dir, large):
+    parts, _ = base.feed_parts(spark, sf_dir)
+    base.message_topic(spark, sf_dir)
+    assert log.exists(spark, parts) and base.feed_parts(spark, sf_dir)[0] == parts
