@@ -100,3 +100,21 @@ def test_feeds_that_a_query_has_stay(spark, sf_dir, large):
     parts, _ = base.feed_parts(spark, sf_dir)
     base.message_topic(spark, sf_dir)
     assert log.exists(spark, parts) and base.feed_parts(spark, sf_dir)[0] == parts
+
+
+def test_micro_batches_are_not_cached_on_disk(spark, folder, monkeypatch):
+    levels, persist = [], DataFrame.persist
+
+    def noted(self, level=None):
+        levels.append(level)
+        return persist(self, level)
+
+    monkeypatch.setattr(DataFrame, "persist", noted)
+    tables = Tables(folder("layers"))
+    registration = log.CommitLog(spark, tables.root).open_stream("one", datetime(1997, 1, 1))
+    messages = spark.range(10).select(
+        F.format_string('{"serial_number":%d}', "id").alias("value"), F.lit("1997-01-01").cast("timestamp_ntz").alias("created_at"))
+    MicroBatch(messages, 0, tables, registration, registration).run()
+    assert len(levels) == 1 and not levels[0].useDisk
+    MicroBatch(messages, 1, tables, registration, registration, parts=("lake",)).run()
+    assert len(levels) == 1  # read once: no cache
