@@ -118,3 +118,21 @@ def test_micro_batches_are_not_cached_on_disk(spark, folder, monkeypatch):
     assert len(levels) == 1 and not levels[0].useDisk
     MicroBatch(messages, 1, tables, registration, registration, parts=("lake",)).run()
     assert len(levels) == 1  # read once: no cache
+
+
+def test_a_date_has_one_merged_unit_at_a_time(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(base, "_FEEDS", {})
+    monkeypatch.setattr(base, "PART_ROWS", 50)  # many micro-batches
+    units, compact = [], lake.flows.compact
+
+    def counted(session_, tables, *args):
+        out = compact(session_, tables, *args)
+        for day in log.names(spark, tables.lake):
+            units.append(len(log.names(spark, f"{tables.lake}/{day}/stream={MERGED}")))
+        for name in spark.read.option("recursiveFileLookup", "true").parquet(tables.lake).inputFiles():
+            assert name.endswith(".zstd.parquet")
+        return out
+
+    monkeypatch.setattr(lake.flows, "compact", counted)
+    lake.lake_merged_midway(spark, sf_dir).collect()
+    assert max(units) <= 2  # the one that a date has had, and the one just merged
