@@ -136,3 +136,15 @@ def test_a_date_has_one_merged_unit_at_a_time(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(lake.flows, "compact", counted)
     lake.lake_merged_midway(spark, sf_dir).collect()
     assert max(units) <= 2  # the one that a date has had, and the one just merged
+
+
+def test_lines_of_a_csv_in_many_small_files(spark, sf_dir, monkeypatch):
+    """A task that reads several files meets several headers."""
+    monkeypatch.setattr(scans, "MOST_PART_ROWS", 50)
+    names = spark.read.text(scans.raw_csv(spark, sf_dir)).inputFiles()
+    rows = testdata.sales(spark, sf_dir, "serial_number").count()
+    assert len(names) >= rows / 50 and all(name.endswith(".csv.gz") for name in names)
+    found = {r.kind: r.n for r in scans.quarantine_csv(spark, sf_dir).collect()}
+    last = {r["last"]: r["count"] for r in testdata.sales(spark, sf_dir, "serial_number").groupBy(
+        (F.col("serial_number") % 10).alias("last")).count().collect()}
+    assert found == {"dropped": last[1], "damaged": last[2], "whole": rows - last[1] - last[2]}
